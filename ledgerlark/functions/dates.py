@@ -101,6 +101,11 @@ def reading_time(col: Column) -> Column:
     return _ntz(col, READING_FORMAT)
 
 
+def instant(value) -> Column:
+    """Literal wall time without a zone; keeps filters on such columns pushable."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def floor_to(unit: str, col: Column) -> Column:
     return F.date_trunc(unit, col).cast("timestamp_ntz")
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import floor_to
+from ..functions.dates import floor_to, instant
 from .positions import row_position, with_neighbours
 
 # --- fixed values -----------------------------------------------------------
@@ -25,7 +25,7 @@ def hour_spine(spark: SparkSession, start: dt.datetime, end: dt.datetime, statio
                time: str = "READING_DATETIME", station: str = "STATION_ID") -> DataFrame:
     """Every hour of the window for every station; repeated station ids count once."""
     names = F.array(*[F.lit(s) for s in dict.fromkeys(stations)])
-    hours = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"),
+    hours = F.sequence(instant(start), instant(end),
                        F.expr("interval 1 hour"))
     return (spark.range(1).select(F.explode(hours).alias(time))
             .withColumn(time, floor_to("hour", F.col(time))).withColumn(station, F.explode(names)))

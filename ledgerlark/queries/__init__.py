@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("forecasting",)
+SECTIONS = ("forecasting", "scans", "predicates", "joining", "grouping", "windows")
 
 
 def load() -> None:

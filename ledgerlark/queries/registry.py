@@ -20,7 +20,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        table = read_table(self.spark, self.folder, name)
+        setattr(self, name, table)  # one frame per table, so its columns can be named
+        return table
 
 
 def query(name: str, sql: str | None = None):
