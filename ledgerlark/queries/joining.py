@@ -20,13 +20,13 @@ def _(t):
 
 
 @query("j2_composite_key", f"""
-WITH a AS (SELECT event_type, date_trunc('hour', ts) AS h, avg(value) AS v FROM events WHERE user_id % 2 = 0 GROUP BY 1, 2),
-b AS (SELECT event_type, date_trunc('hour', ts) AS h, max(value) AS w FROM events WHERE user_id % 2 = 1 GROUP BY 1, 2)
+WITH a AS (SELECT event_type, date_trunc('hour', ts) AS h, avg(value) AS v FROM events GROUP BY 1, 2),
+b AS (SELECT event_type, date_trunc('hour', ts) AS h, max(value) AS w FROM events WHERE value > 20 GROUP BY 1, 2)
 SELECT event_type, h, {sql_r6('v')} AS v, w FROM a JOIN b USING (event_type, h)""")
 def _(t):
     hour = t.events.withColumn("h", floor_to("hour", F.col("ts")))
-    a = hour.where(F.col("user_id") % 2 == 0).groupBy("event_type", "h").agg(r6(F.avg("value")).alias("v"))
-    b = hour.where(F.col("user_id") % 2 == 1).groupBy("event_type", "h").agg(F.max("value").alias("w"))
+    a = hour.groupBy("event_type", "h").agg(r6(F.avg("value")).alias("v"))
+    b = hour.where(F.col("value") > 20).groupBy("event_type", "h").agg(F.max("value").alias("w"))
     return a.join(b, ["event_type", "h"])
 
 
@@ -83,10 +83,15 @@ def _(t):
     return joins.not_in(t.orders, "o_orderkey", sets).select("o_orderkey")
 
 
-@query("j7_not_in_with_null", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT CASE WHEN l_linenumber <> 7 THEN l_orderkey END FROM lineitem)")
+@query("j7_not_in_with_null", """
+SELECT 'with null' AS sets, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT CASE WHEN l_linenumber <> 7 THEN l_orderkey END FROM lineitem)
+UNION ALL SELECT 'without null', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <> 7)""")
 def _(t):
     ids = t.lineitem.select(F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("id"))
-    return joins.not_in(t.orders, "o_orderkey", [ids]).select("o_orderkey")
+    sets = {"with null": ids, "without null": ids.where(F.col("id").isNotNull())}
+    counts = [joins.not_in(t.orders, "o_orderkey", [s]).agg(F.lit(name).alias("sets"), F.count(F.lit(1)).alias("n"))
+              for name, s in sets.items()]
+    return counts[0].unionByName(counts[1])
 
 
 @query("j8_semi_join", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O')")
