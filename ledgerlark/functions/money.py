@@ -110,3 +110,8 @@ def document_number(col: Column) -> Column:
 def settlement_document(col: Column) -> Column:
     """Null for a blank or the word 'null', else the text as it is."""
     return F.when((trim_blanks(col) != "") & (col != "null"), col)
+
+
+def number_text(col: Column) -> Column:
+    """Amount inside a message: two decimals at most, no trailing zeros."""
+    return F.regexp_replace(col.cast("decimal(38,2)").cast("string"), r"\.?0+$", "")
