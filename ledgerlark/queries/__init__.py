@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("forecasting", "scans", "predicates", "joining", "grouping", "windows", "scalars", "nesting", "cleaning")
+SECTIONS = ("forecasting", "scans", "predicates", "joining", "grouping", "windows", "scalars", "nesting", "cleaning", "rules")
 
 
 def load() -> None:
