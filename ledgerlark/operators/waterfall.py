@@ -30,8 +30,9 @@ class MatchRule:
     probe_where / claim_where  which rows take part
     dated     the claim must be settled on or before the invoice's date
     unique    ids with more than one match are released to the later rules
-    spread    array of values on the invoice side that the last key may take
-              (days of an interval, units of an amount tolerance)
+    between   (lowest, highest, value): the whole number ``value`` of the claim must lie in
+              the invoice's closed interval.  Short intervals are listed unit by unit on the
+              invoice side; with ``block`` the middle is listed in blocks of that many units.
     """
 
     rank: int
@@ -42,7 +43,8 @@ class MatchRule:
     claim_where: Column | None = None
     dated: bool = True
     unique: bool = False
-    spread: Column | None = None
+    between: tuple[Column, Column, Column] | None = None
+    block: int | None = None
 
 
 def _key(parts: list[Column]) -> Column:
@@ -52,23 +54,51 @@ def _key(parts: list[Column]) -> Column:
     return F.concat(*joined)
 
 
-def _probe_entries(rule: MatchRule, as_of: Column) -> Column:
-    date = as_of if rule.dated else F.lit(_FOREVER).cast("date")
+def _units(low: Column, high: Column) -> Column:
+    """low, low + 1, ..., high; nothing when the interval is empty."""
+    return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _cover(low: Column, high: Column, block: int | None) -> Column:
+    """Names of disjoint pieces that make up [low, high]: units, and blocks in the middle."""
+    name = lambda kind, values: F.transform(values, lambda v: F.concat(F.lit(kind), v.cast("string")))
+    if block is None:
+        return name("u", _units(low, high))
+    first, last = F.ceil(low / block), F.floor((high + 1) / block) - 1
+    split = first <= last
+    ends = F.concat(_units(low, first * block - 1), _units((last + 1) * block, high))
+    return F.concat(name("u", F.when(split, ends).otherwise(_units(low, high))),
+                    name("b", F.when(split, _units(first, last)).otherwise(F.array().cast("array<bigint>"))))
+
+
+def _pieces(value: Column, block: int | None) -> list[Column]:
+    """Every piece a value belongs to."""
+    unit = F.concat(F.lit("u"), value.cast("string"))
+    return [unit] if block is None else [unit, F.concat(F.lit("b"), F.floor(value / block).cast("string"))]
 
-    def entry(*extra: Column) -> Column:
-        return F.struct(F.lit(rule.rank).alias("rule"), _key([*rule.probe_keys, *extra]).alias("key"),
-                        date.alias("as_of"))
 
-    entries = F.array(entry()) if rule.spread is None else F.transform(rule.spread, lambda v: entry(v))
-    if rule.probe_where is not None:
-        entries = F.when(rule.probe_where, entries)
-    return entries
+def _entry(rule: MatchRule, parts: list[Column], date_name: str, date: Column) -> Column:
+    return F.struct(F.lit(rule.rank).alias("rule"), _key(parts).alias("key"), date.alias(date_name))
 
 
-def _claim_entry(rule: MatchRule, since: Column) -> Column:
+def _probe_entries(rule: MatchRule, as_of: Column) -> Column:
+    date = as_of if rule.dated else F.lit(_FOREVER).cast("date")
+    if rule.between is None:
+        entries = F.array(_entry(rule, list(rule.probe_keys), "as_of", date))
+    else:
+        low, high, _ = (c.cast("bigint") for c in rule.between)
+        entries = F.transform(_cover(low, high, rule.block), lambda piece: _entry(rule, [*rule.probe_keys, piece], "as_of", date))
+    return entries if rule.probe_where is None else F.when(rule.probe_where, entries)
+
+
+def _claim_entries(rule: MatchRule, since: Column) -> Column:
     date = since if rule.dated else F.lit(_ALWAYS).cast("date")
-    entry = F.struct(F.lit(rule.rank).alias("rule"), _key(list(rule.claim_keys)).alias("key"), date.alias("since"))
-    return entry if rule.claim_where is None else F.when(rule.claim_where, entry)
+    if rule.between is None:
+        entries = F.array(_entry(rule, list(rule.claim_keys), "since", date))
+    else:
+        value = rule.between[2].cast("bigint")
+        entries = F.array(*[_entry(rule, [*rule.claim_keys, piece], "since", date) for piece in _pieces(value, rule.block)])
+    return entries if rule.claim_where is None else F.when(rule.claim_where, entries)
 
 
 def _explode(df: DataFrame, arrays: Column, date: str, *keep: Column) -> DataFrame:
@@ -115,12 +145,12 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
                 payload breaks ties
     A null id that matches a rule voids all later rules, as NOT IN does.
     """
-    probes = _explode(invoices, F.flatten(F.filter(
-        F.array(*[_probe_entries(r, as_of) for r in rules]), lambda a: a.isNotNull())), "as_of",
-        F.col(id).alias("id"), F.col(own).alias("own")).distinct()
-    entries = _explode(claims, F.filter(
-        F.array(*[_claim_entry(r, since) for r in rules]), lambda e: e.isNotNull()), "since",
-        *[F.col(c) for c in payload]).distinct()
+    present = lambda arrays: F.flatten(F.filter(F.array(*arrays), lambda a: a.isNotNull()))
+    probes = _explode(invoices, present([_probe_entries(r, as_of) for r in rules]), "as_of",
+                      F.col(id).alias("id"), F.col(own).alias("own"))
+    entries = _explode(claims, present([_claim_entries(r, since) for r in rules]), "since", *[F.col(c) for c in payload]).distinct()
+    # most probes meet no claim at all; they leave before anything is sorted
+    probes = probes.join(entries.select("rule", "key").distinct(), ["rule", "key"], "left_semi").distinct()
     ordered = [*newest, *[c for c in payload if c not in newest]]
     answers = accumulate(probes, entries, other, F.struct(*ordered))
     other_best = F.when(F.col("own") != F.col(f"first.{other}"), F.col("first")).otherwise(F.col("second"))
@@ -132,6 +162,14 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     if unique:
         hits = hits.where(~F.col("rule").isin(unique) | (F.col("n_matches") == 1))
     if void_after_null_id:
-        void = hits.where(F.col("id").isNull()).agg(F.min("rule").alias("r")).scalar()
+        void = _first_rule_of_null_ids(probes, entries, unique)
         hits = hits.where(F.coalesce(F.col("rule") <= void, F.lit(True)))
     return top_per_key(hits.where(F.col("id").isNotNull()), ["id"], [F.asc("rule")])
+
+
+def _first_rule_of_null_ids(probes: DataFrame, entries: DataFrame, unique: list[int]) -> Column:
+    """Earliest rule matched by an invoice without id, as a scalar; null when there is none."""
+    nameless = probes.where(F.col("id").isNull()).groupBy("rule", "key").agg(F.max("as_of").alias("as_of"))
+    counts = (entries.join(nameless, ["rule", "key"]).where(F.col("since") <= F.col("as_of"))
+              .groupBy("rule").agg(F.count(F.lit(1)).alias("n")))
+    return counts.where(~F.col("rule").isin(unique) | (F.col("n") == 1)).agg(F.min("rule").alias("r")).scalar()

@@ -27,6 +27,8 @@ LETTER_YEAR = "25-"
 PAID, PENDING = "PAG", ["OPT", "PGP"]
 # --- end of fixed values -----------------------------------------------------------
 
+# an interval of 101 units is met as at most 28 pieces: units at its ends, tens between
+AMOUNT_BLOCK = 10
 PAYLOAD = ["fec_ocurrencia", "fec_liquidacion", "est_cuenta_por_pagar", "id_estado_siniestro_origen",
            "des_estado_siniestro_origen", "num_siniestro", "factura", "imp_documento"]
 
@@ -106,9 +108,10 @@ def rules(by_site: bool = False) -> list[MatchRule]:
                c("cie10_siteds_ocr"), amount)
     claim_scanned = (claim("num_documento_proveedor_siniestro"), claim("num_documento_afiliado"), claim("num_poliza"),
                      claim("cod_producto"), claim("num_diagnostico_origen"), claim_amount)
-    near_days = F.when(F.date_sub(F.to_date("fecha_emision_siteds_ocr"), NEAR_DAYS) <= F.date_add(day, NEAR_DAYS),
-                       F.sequence(F.date_sub(F.to_date("fecha_emision_siteds_ocr"), NEAR_DAYS), F.date_add(day, NEAR_DAYS)))
-    near_amounts = F.sequence(amount - AMOUNT_TOLERANCE, amount + AMOUNT_TOLERANCE)
+    number_of = lambda date: F.unix_date(date)
+    near_days = (number_of(F.date_sub(F.to_date("fecha_emision_siteds_ocr"), NEAR_DAYS)), number_of(F.date_add(day, NEAR_DAYS)),
+                 number_of(claim_day))
+    near_amounts = (amount - AMOUNT_TOLERANCE, amount + AMOUNT_TOLERANCE, claim_amount)
     cpm, claim_cpm = c("mecanismo_pago_fact_trama") == "02", claim("cod_mecanismo_pago") == "02"
     refunded = (claim("estado") == lookups.REFUNDED_STATE) & (claim("ind_devoluc") == "Rechazo_Definitivo")
     return [
@@ -116,8 +119,8 @@ def rules(by_site: bool = False) -> list[MatchRule]:
                   (claim("id_autorizacion"), claim_provider, claim_member, claim_amount, claim_day, *claim_site),
                   registered, settled),
         MatchRule(2, MESSAGES[2], (c("cod_autorizacion"), c("cie10_siteds_ocr"), day),
-                  (claim("id_autorizacion"), claim("num_diagnostico_origen"), claim_day, claim_amount),
-                  registered & cpm, settled & (claim("cod_mecanismo_pago") == "01"), spread=near_amounts),
+                  (claim("id_autorizacion"), claim("num_diagnostico_origen"), claim_day),
+                  registered & cpm, settled & (claim("cod_mecanismo_pago") == "01"), between=near_amounts, block=AMOUNT_BLOCK),
         MatchRule(3, MESSAGES[3], (c("num_factura_documento_ocr"), c("ruc_proveedor_emisor_ocr")),
                   (c("factura"), claim("num_documento_proveedor_siniestro")), None, settled),
         MatchRule(4, MESSAGES[4], (provider, member, c("cod_contratante_origen_sistema"), F.trunc(day, "MM"), *site, *contract),
@@ -125,9 +128,9 @@ def rules(by_site: bool = False) -> list[MatchRule]:
                   registered & cpm, settled & claim_cpm),
         MatchRule(5, MESSAGES[5], (*attention, day), (*claim_attention, claim_day), registered, settled, unique=True),
         MatchRule(6, MESSAGES[6], (*scanned, day), (*claim_scanned, claim_day), None, settled, unique=True),
-        MatchRule(7, MESSAGES[7], (*scanned, c("numero_carta_garantia")), (*claim_scanned, claim("carta_garantia"), claim_day),
-                  None, settled, spread=near_days),
-        MatchRule(8, MESSAGES[8], attention, (*claim_attention, claim_day), None, refunded, dated=False, spread=near_days),
+        MatchRule(7, MESSAGES[7], (*scanned, c("numero_carta_garantia")), (*claim_scanned, claim("carta_garantia")),
+                  None, settled, between=near_days),
+        MatchRule(8, MESSAGES[8], attention, claim_attention, None, refunded, dated=False, between=near_days),
     ]
 
 
