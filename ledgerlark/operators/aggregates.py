@@ -59,31 +59,23 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[s
               .agg(F.count(F.lit(1)).alias("__n")))
     counts = counts.withColumn("__band", F.floor(F.col("__v") / F.lit(width)))
     along = Window.partitionBy(*keys).orderBy("__band")
+    whole = Window.partitionBy(*keys)
+    # one row per key and band of values that occur: small enough for windows per key
     bands = (counts.groupBy(*keys, "__band").agg(F.sum("__n").alias("__bn"))
-             .withColumn("__before", F.coalesce(
-                 F.sum("__bn").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    totals = bands.groupBy(*keys).agg(F.sum("__bn").alias("__total"))
-    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(q)).alias("q")) for n, q in points.items()])
-    ranks = (totals.select(*keys, "__total", F.inline(wanted))
-             .withColumn("__at", F.col("q") * (F.col("__total") - 1))
-             .withColumn("__rank", F.explode(F.array(F.floor("__at"), F.ceil("__at"))))
-             .dropDuplicates([*keys, "name", "__rank"]))
-    # band totals are one row per key and band, so this join stays small
-    eq = [bands[k].eqNullSafe(ranks[k]) for k in keys]
-    hit = reduce(lambda a, b: a & b, [*eq, bands["__before"] <= ranks["__rank"],
-                                      ranks["__rank"] < bands["__before"] + bands["__bn"]])
-    chosen = ranks.join(bands, hit).select(*[ranks[k] for k in keys], "name", "__at", "__rank", "__band", "__before")
+             .withColumn("__before", F.coalesce(F.sum("__bn").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .withColumn("__total", F.sum("__bn").over(whole)))
+    wanted = []
+    for name, q in points.items():
+        at = F.lit(float(q)) * (F.col("__total") - 1)
+        wanted += [F.struct(F.lit(name).alias("name"), at.alias("at"), edge(at).cast("bigint").alias("rank")) for edge in (F.floor, F.ceil)]
+    here = F.filter(F.array(*wanted), lambda w: (w["rank"] >= F.col("__before")) & (w["rank"] < F.col("__before") + F.col("__bn")))
+    chosen = (bands.withColumn("__wants", here).where(F.size("__wants") > 0)
+              .select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col("__band").alias("__c_band"), "__before", "__wants"))
+    on = reduce(lambda a, b: a & b, [F.col("__band") == F.col("__c_band"), *[F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys]])
     inside = Window.partitionBy(*keys, "__band").orderBy("__v")
-    needed = chosen.select(*keys, "__band").distinct()
-    eq_need = reduce(lambda a, b: a & b, [*[counts[k].eqNullSafe(needed[k]) for k in keys],
-                                          counts["__band"] == needed["__band"]])
-    ranked = (counts.join(needed, eq_need, "left_semi")
-              .withColumn("__upto", F.sum("__n").over(inside)))
-    eq_pick = [ranked[k].eqNullSafe(chosen[k]) for k in keys]
-    place = F.col("__rank") - F.col("__before")
-    pick = reduce(lambda a, b: a & b, [*eq_pick, ranked["__band"] == chosen["__band"],
-                                       place < ranked["__upto"], place >= ranked["__upto"] - ranked["__n"]])
-    found = chosen.join(ranked, pick).select(*[chosen[k] for k in keys], "name", "__at", "__rank", "__v")
-    edges = found.groupBy(*keys, "name", "__at").agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"))
-    values = edges.withColumn("p", F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("__at") - F.floor("__at")))
+    ranked = counts.join(chosen, on).withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
+    mine = F.filter("__wants", lambda w: (w["rank"] < F.col("__upto")) & (w["rank"] >= F.col("__upto") - F.col("__n")))
+    found = ranked.select(*keys, "__v", F.explode(mine).alias("w")).select(*keys, "__v", "w.name", "w.at")
+    edges = found.groupBy(*keys, "name", "at").agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    values = edges.withColumn("p", F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at")))
     return values.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("p"))).alias(n) for n in points])

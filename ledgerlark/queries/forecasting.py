@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import floor_to
 from ..operators import aggregates as agg
 from ..operators import timeseries as ts
+from ..plans import forecast as model
+from ..sources import io
+from ..sources.incremental import shared_folder
 from .registry import Tables, query, r6_columns, sql_r6
 
 TIME, STATION = "READING_DATETIME", "STATION_ID"
@@ -97,3 +100,96 @@ FROM lagged WHERE VELO_lag_24 IS NOT NULL
 @query("flagship_hourly_features", FLAGSHIP_SQL)
 def _flagship(t):
     return r6_columns(hourly_features(t), FEATURE_DOUBLES)
+
+
+@query("m1_time_parts", f"SELECT event_id, {TIME_PARTS} FROM (SELECT event_id, ts AS {TIME} FROM events)")
+def _(t):
+    return ts.time_parts(t.events.select("event_id", F.col("ts").alias(TIME)), TIME).drop(TIME)
+
+
+_CYCLES = [f"{p}_{TIME}_{f}" for p in ts.CYCLE_PERIODS for f in ("sin", "cos")]
+
+
+@query("m2_cyclic_encoding", f"""
+SELECT event_id, {", ".join(f"{sql_r6(c)} AS {c}" for c in _CYCLES)} FROM (SELECT *, {_cyclic_sql()} FROM (SELECT event_id, {TIME_PARTS} FROM (SELECT event_id, ts AS {TIME} FROM events)))""")
+def _(t):
+    parts = ts.time_parts(t.events.select("event_id", F.col("ts").alias(TIME)), TIME)
+    return r6_columns(ts.cyclic_encoding(parts, TIME).select("event_id", *_CYCLES), _CYCLES)
+
+
+@query("m3_kinematic", f"SELECT event_id, {sql_r6('value * value')} AS VELO_SQ, {sql_r6('1 / (value + 1e-6)')} AS VELO_INV FROM events")
+def _(t):
+    df = ts.kinematic(t.events.select("event_id", F.col("value").alias("VELO")), "VELO")
+    return r6_columns(df.select("event_id", "VELO_SQ", "VELO_INV"), ["VELO_SQ", "VELO_INV"])
+
+
+KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("m4_one_hot", "SELECT event_id, " + ", ".join(f"CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END AS LABEL_STATION_ID_{k}" for k in KINDS) + " FROM events")
+def _(t):
+    return ts.one_hot(t.events.select("event_id", F.col("event_type").alias("STATION_ID")), "STATION_ID", KINDS)
+
+
+@query("m6_spine", f"WITH {HOURLY}, {SPINE} SELECT * FROM spine")
+def _(t):
+    return ts.spine_of(hourly_readings(t), TIME, STATION)
+
+
+@query("m7_scoring_source", f"WITH {HOURLY}, {SPINE}, {JOINED}, {FILLED} SELECT STATION_ID, {TIME}, {', '.join(f'{sql_r6(c)} AS {c}' for c in VARIABLES)} FROM filled")
+def _(t):
+    return r6_columns(filled_readings(t), VARIABLES)
+
+
+_FOLDS_SQL = f"""WITH {HOURLY}, placed AS (SELECT *, row_number() OVER (ORDER BY {TIME}, STATION_ID) - 1 AS place, count(*) OVER () AS n FROM hourly),
+bounds AS (SELECT *, fold, n - (10 - fold) * (n // 11) AS test, n // 11 AS size FROM placed, (SELECT unnest(range(10))::INTEGER AS fold)),
+parts AS (SELECT fold, CASE WHEN place < floor(test * 0.8) THEN 'train' WHEN place < test THEN 'validation' WHEN place < test + size THEN 'test' END AS part FROM bounds)
+SELECT fold, part, count(*) AS n FROM parts WHERE part IS NOT NULL GROUP BY 1, 2"""
+
+
+@query("m8_fold_sizes", _FOLDS_SQL)
+def _(t):
+    placed = ts.with_folds(hourly_readings(t), TIME, [STATION])
+    folds = placed.withColumn("fold", F.explode(F.array(*[F.lit(i) for i in range(ts.FOLDS)])))
+    parts = folds.withColumn("part", ts.fold_part(F.col("fold"), F.col("position"), F.col("n_rows")))
+    return parts.where(F.col("part").isNotNull()).groupBy("fold", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _training_frame(t: Tables) -> DataFrame:
+    df = ts.cyclic_encoding(ts.time_parts(filled_readings(t), TIME), TIME)
+    df = ts.one_hot(df.withColumn("station", F.col(STATION)), STATION, KINDS)
+    return df.select(TIME, "station", *VARIABLES, *_CYCLES, *[f"LABEL_{STATION}_{k}" for k in KINDS])
+
+
+_SMALL_MODEL = model.TreeParameters(trees=4, depth=3)
+
+
+@query("m9_boosted_trees")
+def _(t):
+    df = _training_frame(t)
+    fitted = model.fit(df, model.feature_columns(df, ["N_PM25"], [TIME, "station"]), "N_PM25", _SMALL_MODEL)
+    return fitted.transform(df).select("station", TIME, "N_PM25", "prediction")
+
+
+@query("m11_importances")
+def _(t):
+    df = _training_frame(t)
+    fitted = model.fit(df, model.feature_columns(df, ["N_PM25"], [TIME, "station"]), "N_PM25", _SMALL_MODEL)
+    return model.importances(t.spark, fitted)
+
+
+@query("m12_batch_score")
+def _(t):
+    df = _training_frame(t)
+    path = shared_folder(t.spark, "model")
+    model.save(model.fit(df, model.feature_columns(df, ["N_PM25"], [TIME, "station"]), "N_PM25", _SMALL_MODEL), path, "1_0_0")
+    return model.score(df, path, "1_0_0", TIME, "station")
+
+
+@query("s10_saved_metrics")
+def _(t):
+    df = ts.with_folds(_training_frame(t), TIME, ["station"], splits=2)
+    columns = model.feature_columns(df, ["N_PM25"], [TIME, "station", "position", "n_rows"])
+    result = model.train(df, columns, "N_PM25", _SMALL_MODEL, splits=2)
+    folder = io.save_metrics(t.spark, result.metrics, shared_folder(t.spark, "artifacts"), "1_0_0")
+    return t.spark.read.json(folder)
