@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,8 +51,22 @@ def date_parts(col: Column, prefix: str = "") -> list[Column]:
     ]
 
 
+# Shape of a text per field of a pattern.  Spark reads more than four digits as a year
+# and then overflows, so a text is parsed only when it has the shape of its pattern.
+_SHAPES = {"dd": r"\d{2}", "MM": r"\d{2}", "yyyy": r"\d{4}", "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}",
+           "d": r"\d{1,2}", "M": r"\d{1,2}", "y": r"\d{1,4}", "H": r"\d{1,2}", "m": r"\d{1,2}", "s": r"\d{1,2}"}
+
+
+def _shape(pattern: str) -> str:
+    return "^" + re.sub(r"([a-zA-Z])\1*", lambda field: _SHAPES[field.group(0)], pattern) + "$"
+
+
 def _ntz(col: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(col, F.lit(pattern)).cast("timestamp_ntz")
+    return F.when(col.rlike(_shape(pattern)), F.try_to_timestamp(col, F.lit(pattern)).cast("timestamp_ntz"))
+
+
+def _date(col: Column, pattern: str) -> Column:
+    return F.when(col.rlike(_shape(pattern)), F.try_to_date(col, pattern))
 
 
 def mixed_timestamp(col: Column) -> Column:
@@ -88,12 +103,12 @@ def strict_ddmmyyyy(col: Column) -> Column:
 
 def digits_and_slashes_date(col: Column) -> Column:
     bare = F.regexp_replace(col, r"[^0-9/]", "")
-    return F.when(bare != "", F.try_to_date(bare, "d/M/y"))
+    return F.when(bare != "", _date(bare, "d/M/y"))
 
 
 def feed_date(col: Column) -> Column:
     """'yyyymmdd' of the flat feed."""
-    return F.try_to_date(col, "yyyyMMdd")
+    return _date(col, "yyyyMMdd")
 
 
 def reading_time(col: Column) -> Column:

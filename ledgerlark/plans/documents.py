@@ -306,8 +306,9 @@ def guarantee_letters(headers: DataFrame, pages: DataFrame, equivalences: DataFr
 def map_diagnosis(df: DataFrame, diagnosis: Column, equivalences: DataFrame, name: str) -> DataFrame:
     """Equivalent diagnosis, or the original text."""
     keyed = df.withColumn("__dx", text.text_normal_form(diagnosis)).withColumn("__raw", diagnosis)
-    joined = keyed.join(equivalences, F.col("__dx") == F.col("dx_norm"), "left")
-    return joined.withColumn(name, F.coalesce("dx", "__raw")).drop("__dx", "__raw", "dx", "dx_norm")
+    equal = equivalences.withColumnsRenamed({"dx_norm": "__norm", "dx": "__equal"})
+    joined = keyed.join(equal, F.col("__dx") == F.col("__norm"), "left")
+    return joined.withColumn(name, F.coalesce("__equal", "__raw")).drop("__dx", "__raw", "__equal", "__norm")
 
 
 def discharge_summaries(headers: DataFrame, pages: DataFrame, period: str | None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("forecasting", "scans", "predicates", "joining", "grouping", "windows", "scalars", "nesting", "cleaning", "rules", "duplicates", "telemetry")
+SECTIONS = ("forecasting", "scans", "predicates", "joining", "grouping", "windows", "scalars", "nesting", "cleaning", "rules", "duplicates", "telemetry", "warehouse")
 
 
 def load() -> None:
