@@ -79,7 +79,7 @@ def train(df: DataFrame, columns: list[str], target: str, parameters: TreeParame
     """Expanding folds in time order; the last fold's model is kept.
 
     ``df`` comes from with_folds.  The training rows of a fold exclude its validation
-    share, as the reference metrics always did.
+    share, so the metrics describe the model as it is validated.
     """
     metrics, model = [], None
     for fold in range(splits):
