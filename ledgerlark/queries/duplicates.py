@@ -11,7 +11,7 @@ from .registry import Tables, query
 
 K, C = "o_orderkey", "o_custkey"
 YEAR_DAY = f"(CAST(concat(year(o_orderdate), '-01-01') AS DATE) + CAST({K} % 3 AS INT))"
-AMOUNT = "floor(o_totalprice / 20000) * 10.25"
+AMOUNT = "CAST(floor(o_totalprice / 20000) * 10.25 AS DOUBLE)"
 INVOICES = {
     "id": f"concat('F', {K}, 'R', {C} % 20)", "num_factura_documento_ocr": f"concat('F', {K})", "ruc_proveedor_emisor_ocr": f"concat('R', {C} % 20)",
     "dni_factura_ocr": f"concat('D', {C})", "num_siteds_ocr_val": f"CASE WHEN {K} % 7 <> 0 THEN concat('A', {C} * 2 + {K} % 2) END",
