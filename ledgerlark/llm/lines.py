@@ -94,21 +94,21 @@ tokens AS (
          list_transform(regexp_split_to_array(trim(line, chr(32)||chr(9)||chr(11)||chr(12)||chr(13)), '[ \t\x0B\f\r]+'),
                         lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS tokens
   FROM lines),
-placed AS (SELECT *, len(tokens) AS n, tokens[1:{LEADING}] AS leading FROM tokens WHERE len(tokens) >= {MIN_TOKENS}),
-leaves AS (SELECT n, leading FROM placed GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}),
-lively AS (SELECT placed.* FROM placed JOIN leaves USING (n, leading)),
-cells AS (SELECT t, chars, position, width, n, leading, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM lively),
-fixed AS (SELECT n, leading, place, token FROM cells WHERE token <> '{FIELD}' GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}),
+placed AS (SELECT *, len(tokens) AS n, tokens[1:{LEADING}] AS lead3 FROM tokens WHERE len(tokens) >= {MIN_TOKENS}),
+leaves AS (SELECT n, lead3 FROM placed GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}),
+lively AS (SELECT placed.* FROM placed JOIN leaves USING (n, lead3)),
+cells AS (SELECT t, chars, position, width, n, lead3, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM lively),
+fixed AS (SELECT n, lead3, place, token FROM cells WHERE token <> '{FIELD}' GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}),
 shaped AS (
-  SELECT t, chars, position, width, n, leading, list(place || ':' || c.token ORDER BY place) FILTER (WHERE f.token IS NOT NULL) AS template
-  FROM cells c LEFT JOIN fixed f USING (n, leading, place, token)
-  GROUP BY t, chars, position, width, n, leading HAVING count(f.token) * 2 >= n),
+  SELECT t, chars, position, width, n, lead3, list(place || ':' || c.token ORDER BY place) FILTER (WHERE f.token IS NOT NULL) AS template
+  FROM cells c LEFT JOIN fixed f USING (n, lead3, place, token)
+  GROUP BY t, chars, position, width, n, lead3 HAVING count(f.token) * 2 >= n),
 often AS (
   SELECT s.* FROM shaped s
-  JOIN (SELECT n, leading, template FROM shaped GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}) USING (n, leading, template)),
+  JOIN (SELECT n, lead3, template FROM shaped GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}) USING (n, lead3, template)),
 hosts AS (SELECT t FROM often GROUP BY t, chars HAVING sum(width) * 2 <= chars),
-dropped AS (SELECT n, leading, template FROM often JOIN hosts USING (t) GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}),
-positions AS (SELECT t, list(position) AS gone FROM shaped JOIN dropped USING (n, leading, template) GROUP BY t)
+dropped AS (SELECT n, lead3, template FROM often JOIN hosts USING (t) GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_DOCS}),
+positions AS (SELECT t, list(position) AS gone FROM shaped JOIN dropped USING (n, lead3, template) GROUP BY t)
 SELECT d.doc_id,
        CASE WHEN p.t IS NULL THEN d.text ELSE array_to_string(list_filter(split.lines, lambda x, i: NOT list_contains(p.gone, i)), chr(10)) END AS text,
        CAST(len(split.lines) AS INTEGER) AS n_lines, CAST(coalesce(len(p.gone), 0) AS INTEGER) AS n_dropped
