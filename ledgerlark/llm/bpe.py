@@ -37,6 +37,17 @@ def _byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
+def _ranges(ordered: list[int]) -> list[list[int]]:
+    """Runs of numbers that follow each other, as their first and last."""
+    out: list[list[int]] = []
+    for n in ordered:
+        if out and n == out[-1][1] + 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return out
+
+
 class WordBpe:
     """Encoder of one tokenizer file; built once in each Python worker."""
 
@@ -64,7 +75,11 @@ class WordBpe:
                 self.automaton.add_word(s, (s, len(s)))
         self.automaton.make_automaton()
         self.bytes = _byte_symbols()
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.split_ascii = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        # the regex module may know newer letters than the tokenizer; those unassigned in Python's own tables count as marks
+        new = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))) if unicodedata.category(c) == "Cn"]
+        new = "".join([f"\\U{a:08x}" + (f"-\\U{b:08x}" if b > a else "") for a, b in _ranges(new)]) or r"\x00"
+        self.split = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{new}]]+|[\p{{N}}--[{new}]]|[[^\s\p{{L}}\p{{N}}]{new}]+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.spines: dict[tuple[str, int], list[tuple[str, int]]] = {}
         self.fits: dict[tuple[str, str], bool] = {}
@@ -145,7 +160,8 @@ class WordBpe:
         if known is None:
             # lower case goes letter by letter, so a final sigma is as any other
             text = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")).lower()
-            ids = [i for word in self.split.findall(text) for i in self.word(word)]
+            split = self.split_ascii if text.isascii() else self.split
+            ids = [i for word in split.findall(text) for i in self.word(word)]
             known = len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
         if len(self.chunks) >= KEPT:  # the latest ``KEPT`` stay at hand while the next ones gather
             self.older, self.chunks = self.chunks, {}
