@@ -3,10 +3,10 @@
 A text is its bag of five-word shingles, each weighted by TF-IDF.  A sampled hash picks a shingle
 with the chance its weight gives it, the same for two texts with the chance of their weighted
 Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  In a bucket all members are
-compared with its most central one, the member whose buckets hold the most texts; the members that
-stay apart from it choose a new one in the next round, until a round finds nothing new.  So a bucket
-costs as many comparisons as it has members, however large it is.  Every link is verified by the
-exact weighted Jaccard similarity of the whole texts.
+compared with its ``LEADERS`` most central ones, the members whose buckets hold the most texts, so small
+buckets are compared whole; the members that stay apart from all of them choose new ones in the next round, until a
+round finds nothing new.  A bucket costs comparisons in proportion to its members, however large it is.  Every link is
+verified by the exact weighted Jaccard similarity of the whole texts.
 
 Defined results: a null text is empty; texts without words are alike only if equal; repeated rows
 and equal texts share a class; an empty table gives an empty result; other columns are not read.
@@ -18,12 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_rows, components, mixed, shingles, stage, text_key
 
-BANDS, ROWS, SIMILARITY = 14, 4, 0.8
+BANDS, ROWS, SIMILARITY, LEADERS, FILTER_BITS = 14, 4, 0.8, 6, 24
 #: Document frequencies are counted by hashed feature, as Spark ML's HashingTF does, with its number of features.
 FEATURE_BITS = 18
 _DRAWS = 1 << 14
@@ -107,22 +107,43 @@ def fit_sampler(texts: DataFrame) -> Sampler:
     return Sampler(frequencies, int(n[feature < 0].sum()))
 
 
+def _texts_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row (key, text) for each of ``keys``.
+
+    Texts that cannot be wanted are left out where they are read, by a bitmap of hashed keys of fixed size
+    (``FILTER_BITS``); what passes meets the keys themselves.  So texts without a partner do not move.
+    """
+    size, part = 1 << FILTER_BITS, 1 << 15
+    place = F.pmod(F.xxhash64("key"), F.lit(size))
+    maps = keys.select(place.alias("p")).groupBy(F.floor(F.col("p") / part).alias("n")).agg(F.bitmap_construct_agg((F.col("p") % part)).alias("bits")).collect()
+    packed = np.zeros((size // part, part // 8), np.uint8)
+    for m in maps:
+        packed[m["n"]] = np.frombuffer(m["bits"], np.uint8)
+    bits = texts.sparkSession.sparkContext.broadcast(packed.reshape(-1))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(1).to_numpy()
+            yield batch.filter(pa.array((bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))).select([0, 2])
+
+    some = texts.select("key", place.alias("p"), "text").mapInArrow(likely, "key binary, text string")
+    return some.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, sampler, similarity: float) -> DataFrame:
     """Pairs (u, v) of text keys whose weighted Jaccard similarity reaches the threshold."""
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
-    wanted = stage(texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "near-texts")
-    both = (pairs.join(wanted.select(F.col("key").alias("u"), F.col("text").alias("a")), "u")
-            .join(wanted.select(F.col("key").alias("v"), F.col("text").alias("b")), "v"))
+    both = (pairs.join(texts.select(F.col("key").alias("u"), F.col("text").alias("a")), "u")
+            .join(texts.select(F.col("key").alias("v"), F.col("text").alias("b")), "v"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, last = sampler.value, (None, None)
         for batch in batches:
             keep = []
-            for one, a, b in zip(batch.column(0).to_pylist(), byte_rows(batch.column(2)), byte_rows(batch.column(3))):
+            for one, b, a in zip(batch.column(1).to_pylist(), byte_rows(batch.column(3)), byte_rows(batch.column(2))):
                 if last[0] != one:
-                    last = (one, s.weights(a))
-                keep.append(s.similarity(last[1], s.weights(b)) >= similarity)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+                    last = (one, s.weights(b))
+                keep.append(s.similarity(last[1], s.weights(a)) >= similarity)
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     return both.select("u", "v", "a", "b").mapInArrow(compare, "u binary, v binary")
 
@@ -147,23 +168,23 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stage(entries.join(sizes, "bucket"), "near-shared")
     central = shared.groupBy("key").agg(F.sum("size").alias("mates"))
-    members = stage(shared.select("bucket", "key").join(central, "key"), "near-members")
+    members = stage(shared.join(central, "key"), "near-members")
+    held = stage(_texts_of(texts, members.select("key").distinct()), "near-texts")
 
-    links, classes = None, None
+    links = None
+    most_central = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
     while True:
-        leaders = members.groupBy("bucket").agg(F.max(F.struct("mates", "key")).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        led = members.select("bucket", "key").join(leaders.select("bucket", F.col("l.key").alias("leader")), "bucket").where("key <> leader")
-        led = stage(led, "near-led")
-        pairs = led.select(F.col("leader").alias("u"), F.col("key").alias("v")).distinct()
-        found = stage(_verified(pairs, texts, sampler, similarity), "near-links")
-        if not found.limit(1).count():
-            return classes if classes is not None else found.select(F.col("u").alias("key"), F.col("v").alias("root"))
+        leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= LEADERS)
+        led = stage(members.select("bucket", "key").join(leaders.select("bucket", F.col("key").alias("leader")), "bucket").where("key <> leader"), "near-led")
+        pairs = led.select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v")).distinct()
+        found = stage(_verified(pairs, held, sampler, similarity), "near-links")
         links = found if links is None else links.unionByName(found)
-        classes = components(links, "near").select(F.col("node").alias("key"), "root")
-        own = led.join(classes.withColumnRenamed("root", "mine"), "key", "left")
-        apart = own.join(classes.select(F.col("key").alias("leader"), F.col("root").alias("theirs")), "leader", "left")
-        apart = apart.where(~F.coalesce(F.col("mine") == F.col("theirs"), F.lit(False)))
-        members = stage(apart.select("bucket", "key").join(central, "key"), "near-members")
+        # what a crowded bucket has left: members that neither lead nor follow a leader of theirs
+        near = found.select(F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("v").alias("leader")), F.struct(F.col("v").alias("key"), F.col("u").alias("leader")))).alias("x")).select("x.*")
+        done = led.join(near, ["key", "leader"], "left_semi").select("bucket", "key").unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
+        members = stage(members.where(F.col("size") > LEADERS + 1).join(done, ["bucket", "key"], "left_anti"), "near-members")
+        if not found.limit(1).count() or not members.limit(1).count():
+            return components(links, "near").select(F.col("node").alias("key"), "root")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
