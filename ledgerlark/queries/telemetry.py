@@ -54,49 +54,74 @@ def _(t):
     return gold.kpis(traces(t))
 
 
-@query("g3_interactions", f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, codidentity, descidentitytype, coddomain, codsubdomain, tsstart::DATE AS dtdate, strftime(tsstart, '%a') AS descdayofweek,
-  hour(tsstart)::INTEGER AS idxhour, count(*) AS cntinteractions FROM traces GROUP BY ALL""")
+INTERACTIONS_SQL = f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, codidentity, descidentitytype, coddomain, codsubdomain, tsstart::DATE AS dtdate, strftime(tsstart, '%a') AS descdayofweek,
+  hour(tsstart)::INTEGER AS idxhour, count(*) AS cntinteractions FROM traces GROUP BY ALL"""
+
+
+@query("g3_interactions", INTERACTIONS_SQL)
 def _(t):
     return gold.interactions(traces(t))
 
 
-@query("g4_token_costs", f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, nmagent, codidentity, nmmodel, descgrain, tsbucket, dtbucket, sum(qtyintoken)::BIGINT AS qtyintoken, sum(qtyouttoken)::BIGINT AS qtyouttoken,
-  sum(amntcostin)::DECIMAL(18,6) AS amntcostin, sum(amntcostout)::DECIMAL(18,6) AS amntcostout FROM grained GROUP BY ALL""")
+COSTS_SQL = f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, nmagent, codidentity, nmmodel, descgrain, tsbucket, dtbucket, sum(qtyintoken)::BIGINT AS qtyintoken, sum(qtyouttoken)::BIGINT AS qtyouttoken,
+  sum(amntcostin)::DECIMAL(18,6) AS amntcostin, sum(amntcostout)::DECIMAL(18,6) AS amntcostout FROM grained GROUP BY ALL"""
+
+
+@query("g4_token_costs", COSTS_SQL)
 def _(t):
     return gold.token_costs(traces(t))
 
 
-@query("g5_agent_metrics", f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, nmagent, codidentity, nmmodel, descgrain, tsbucket, dtbucket, count(*)::INTEGER AS cntops, {_MEAN} AS amntdurationavg,
-  {_rate('flgsuccess')} AS pctsuccessrate, (sum(amntcostin) + sum(amntcostout))::DECIMAL(18,6) AS amntcosttotal FROM grained GROUP BY ALL""")
+_POINT = "quantile_cont(amntdurationms::DOUBLE, {})::DECIMAL(18,2) AS amntdurationp{}"
+AGENTS_SQL = f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, nmagent, codidentity, nmmodel, descgrain, tsbucket, dtbucket, count(*)::INTEGER AS cntops, {_MEAN} AS amntdurationavg,
+  {_rate('flgsuccess')} AS pctsuccessrate, (sum(amntcostin) + sum(amntcostout))::DECIMAL(18,6) AS amntcosttotal, {', '.join(_POINT.format(p / 100, p) for p in (50, 95, 99))} FROM grained GROUP BY ALL"""
+
+
+@query("g5_agent_metrics", AGENTS_SQL)
 def _(t):
-    return gold.agent_metrics(traces(t)).drop(*gold.PERCENTILES)
+    return gold.agent_metrics(traces(t))
 
 
 @query("g5_latency_percentiles", f"""WITH {TRACES_SQL} SELECT codagent, nmmodel, descgrain, tsbucket, {sql_r6('quantile_cont(amntdurationms::DOUBLE, 0.5)')} AS amntdurationp50,
-  {sql_r6('quantile_cont(amntdurationms::DOUBLE, 0.95)')} AS amntdurationp95, {sql_r6('quantile_cont(amntdurationms::DOUBLE, 0.99)')} AS amntdurationp99 FROM grained WHERE descgrain <> 'minute' GROUP BY ALL""")
+  {sql_r6('quantile_cont(amntdurationms::DOUBLE, 0.95)')} AS amntdurationp95, {sql_r6('quantile_cont(amntdurationms::DOUBLE, 0.99)')} AS amntdurationp99 FROM grained GROUP BY ALL""")
 def _(t):
-    grained = gold.with_grains(traces(t)).where(F.col("descgrain") != "minute")
-    points = gold.latency_percentiles(grained, ["codagent", "nmmodel", "descgrain", "tsbucket"])
+    points = gold.latency_percentiles(gold.with_grains(traces(t)), ["codagent", "nmmodel", "descgrain", "tsbucket"])
     return points.withColumns({p: r6(p) for p in gold.PERCENTILES})
 
 
-@query("g6_tool_invocations", f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, codidentity, nmtool, descgrain, tsbucket, dtbucket, count(*)::INTEGER AS cntinvocations, {_MEAN} AS amntdurationavg,
-  {_rate('NOT flgsuccess')} AS pcterrorrate FROM grained WHERE nmtool IS NOT NULL GROUP BY ALL""")
+TOOLS_SQL = f"""WITH {TRACES_SQL} SELECT nmowner, nmsquad, codagent, codidentity, nmtool, descgrain, tsbucket, dtbucket, count(*)::INTEGER AS cntinvocations, {_MEAN} AS amntdurationavg,
+  {_rate('NOT flgsuccess')} AS pcterrorrate FROM grained WHERE nmtool IS NOT NULL GROUP BY ALL"""
+
+
+@query("g6_tool_invocations", TOOLS_SQL)
 def _(t):
     return gold.tool_invocations(traces(t))
 
 
-@query("g7_recent_traces", f"""WITH {TRACES_SQL} SELECT idtrace, codagent, amntdurationms, tsstart, tsstart::DATE AS dsstart FROM traces
-WHERE tsstart >= (SELECT max(tsstart) FROM traces) - INTERVAL 48 HOUR ORDER BY tsstart DESC, idtrace DESC LIMIT 5000""")
-def _(t):
-    return gold.recent_traces(traces(t)).select("idtrace", "codagent", "amntdurationms", "tsstart", "dsstart")
+RECENT_SQL = f"""WITH {TRACES_SQL} SELECT * EXCLUDE (idconversation, descidentitytype, nmmodel, nmtool), tsstart::DATE AS dsstart FROM traces
+WHERE tsstart >= (SELECT max(tsstart) FROM traces) - INTERVAL 48 HOUR"""
 
 
-@query("g8_gold_sink", f"""WITH {TRACES_SQL} SELECT descgrain, dtbucket, count(*) AS rows, sum(cntinteractions)::BIGINT AS traces FROM ({KPIS_SQL.replace('WITH ' + TRACES_SQL, '')})
-WHERE dtbucket >= (SELECT max(tsstart)::DATE - 1 FROM traces) GROUP BY 1, 2""")
+@query("g7_recent_traces", RECENT_SQL)
 def _(t):
+    return gold.recent_traces(traces(t))
+
+
+def sink(t: Tables, table: str):
+    """The table after three micro-batches: most traces, then late ones of all days with some repeated, and that batch again."""
     root = shared_folder(t.spark, "gold")
-    for _retry in range(2):  # a repeated micro-batch must change nothing
-        gold.write_gold(traces(t), 0, root, ["kpis"])
-    stored = t.spark.read.parquet(f"{root}/kpis")
-    return stored.groupBy("descgrain", "dtbucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("cntinteractions").alias("traces"))
+    all_traces = traces(t)
+    number = F.col("idtrace").cast("bigint")
+    first, late = all_traces.where(number % 7 != 3), all_traces.where(number % 7 >= 2).where(number % 7 <= 3)
+    for n, batch in ((0, first), (1, late), (1, late)):
+        gold.write_gold(batch, n, root, [table])
+    return t.spark.read.parquet(f"{root}/{table}")
+
+
+for _name, _sql in (("kpis", KPIS_SQL), ("interactions", INTERACTIONS_SQL), ("token_costs", COSTS_SQL), ("agent_metrics", AGENTS_SQL), ("tool_invocations", TOOLS_SQL), ("recent_traces", RECENT_SQL)):
+    query(f"g8_{_name}_sink", _sql)(lambda t, name=_name: sink(t, name))
+
+
+@query("g8_gold_sink", f"""WITH {TRACES_SQL} SELECT descgrain, dtbucket, count(*) AS rows, sum(cntinteractions)::BIGINT AS traces FROM ({KPIS_SQL.replace('WITH ' + TRACES_SQL, '')}) GROUP BY 1, 2""")
+def _(t):
+    return sink(t, "kpis").groupBy("descgrain", "dtbucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("cntinteractions").alias("traces"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +26,21 @@ def build_session(app: str = "ledgerlark", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+#: Where a session on a single machine may keep written tables when it names no folder itself, as in tests.
+LOCAL_FOLDER = "/tmp/checkpoints"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session's own setting, else a folder for local runs."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder that the driver and all executors share: ``spark.checkpoint.dir``, or the checkpoint folder already set.
+
+    Only a session whose driver runs all tasks itself (``local[n]``) goes on without one.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        # only reached where the setting is missing, as in tests on local[*]
-        folder = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = LOCAL_FOLDER
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

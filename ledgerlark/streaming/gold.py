@@ -8,6 +8,7 @@ those partitions, so a repeated batch changes nothing and counts stay exact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,7 @@ from ..schemas import TRACE
 # --- fixed values -----------------------------------------------------------
 GRAINS = ["minute", "hour", "day"]
 INTERVAL = "10 seconds"
-RETENTION_DAYS = 1
 RECENT_HOURS = 48
-RECENT_ROWS = 5000
 PERCENTILES = {"amntdurationp50": 0.50, "amntdurationp95": 0.95, "amntdurationp99": 0.99}
 # width in milliseconds of the bands used to locate percentiles
 DURATION_BAND = 1000.0
@@ -113,12 +112,11 @@ def tool_invocations(traces: DataFrame) -> DataFrame:
         _rate(~F.col("flgsuccess")).alias("pcterrorrate"))
 
 
-def recent_traces(traces: DataFrame, hours: int = RECENT_HOURS, rows: int = RECENT_ROWS) -> DataFrame:
-    """Newest traces of the last hours; the row limit is part of the table's definition."""
+def recent_traces(traces: DataFrame, hours: int = RECENT_HOURS) -> DataFrame:
+    """Single traces of the last hours before the newest one."""
     last = traces.agg(F.max("tsstart").alias("t")).scalar()
     fresh = traces.where(F.col("tsstart") >= last - F.make_dt_interval(hours=F.lit(hours)))
-    return (fresh.orderBy(F.desc("tsstart"), F.desc("idtrace")).limit(rows)
-            .drop("idconversation", "descidentitytype", "nmmodel", "nmtool").withColumn("dsstart", F.to_date("tsstart")))
+    return fresh.drop("idconversation", "descidentitytype", "nmmodel", "nmtool").withColumn("dsstart", F.to_date("tsstart"))
 
 
 TABLES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str]]] = {
@@ -127,7 +125,10 @@ TABLES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str]]] = {
     "token_costs": (token_costs, ["descgrain", "dtbucket"]),
     "agent_metrics": (agent_metrics, ["descgrain", "dtbucket"]),
     "tool_invocations": (tool_invocations, ["descgrain", "dtbucket"]),
+    "recent_traces": (recent_traces, ["dsstart"]),
 }
+# tables that hold a window before the newest trace, and so are written anew as a whole
+SLIDING = {"recent_traces": RECENT_HOURS // 24}
 
 
 def read_traces(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -139,32 +140,44 @@ def read_traces(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def write_gold(batch: DataFrame, batch_id: int, root: str, tables: list[str] | None = None) -> None:
-    """Store a micro-batch and refresh the partitions of the days it touches.
+    """Store a micro-batch, however late its rows, and refresh the partitions of the days it touches.
 
-    The batch goes to its own partition, so a retry replaces it.  Rows older than the
-    retention, counted from the newest day stored, are dropped.
+    The batch goes to its own partition, so a retry replaces it.  Of a trace that came twice the
+    newest batch counts.  Old partitions go by ``expire``, never on arrival.
     """
     spark = batch.sparkSession
     store = f"{root}/trace_store"
-    dated = batch.withColumn("dsstart", F.to_date("tsstart")).withColumn("batch", F.lit(batch_id))
-    newest = dated.agg(F.max("dsstart").alias("d")).scalar()
-    if _exists(spark, store):
-        stored = spark.read.parquet(store).agg(F.max("dsstart").alias("d")).scalar()
-        newest = F.greatest(newest, stored)
-    kept = dated.where(F.col("dsstart") >= F.date_sub(newest, RETENTION_DAYS))
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dsstart", "batch").parquet(store)
+    (batch.withColumn("dsstart", F.to_date("tsstart")).withColumn("batch", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dsstart", "batch").parquet(store))
     if not _exists(spark, store):
         return
-    all_traces = spark.read.parquet(store)
-    touched = all_traces.where(F.col("batch") == batch_id).select("dsstart").distinct()
-    open_days = all_traces.join(F.broadcast(touched), "dsstart", "left_semi")  # one row per day kept
-    unique = top_per_key(open_days, ["idtrace"], [F.desc("batch")]).drop("batch", "dsstart")
+    stored = spark.read.parquet(store)
+    unique = lambda df: top_per_key(df, ["idtrace"], [F.desc("batch")]).drop("batch", "dsstart")
+    touched = stored.where(F.col("batch") == batch_id).select("dsstart").distinct()
+    days = unique(stored.join(touched, "dsstart", "left_semi"))
+    newest = stored.agg(F.max("dsstart").alias("d")).scalar()
     for name in tables or TABLES:
         build, partitions = TABLES[name]
-        (build(unique).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        source = unique(stored.where(F.col("dsstart") >= F.date_sub(newest, SLIDING[name]))) if name in SLIDING else days
+        (build(source).write.mode("overwrite").option("partitionOverwriteMode", "static" if name in SLIDING else "dynamic")
          .partitionBy(*partitions).parquet(f"{root}/{name}"))
 
 
+def expire(spark: SparkSession, root: str, before: date, tables: list[str] | None = None) -> list[str]:
+    """Delete the day partitions older than ``before`` from the store and the tables; the paths that went."""
+    gone = []
+    for name in ["trace_store", *(tables or TABLES)]:
+        column = "dsstart" if name in ("trace_store", *SLIDING) else next(c for c in TABLES[name][1] if c != "descgrain")
+        depth = "*/" if name in TABLES and "descgrain" in TABLES[name][1] else ""
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{depth}{column}=*")
+        files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.globStatus(pattern) or []:
+            if date.fromisoformat(status.getPath().getName().partition("=")[2]) < before:
+                files.delete(status.getPath(), True)
+                gone.append(status.getPath().toString())
+    return gone
+
+
 def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and bool(
@@ -176,12 +189,3 @@ def gold_stream(traces: DataFrame, root: str, checkpoint: str, tables: list[str]
     writer = (traces.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda batch, batch_id: write_gold(batch, batch_id, root, tables)))
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=INTERVAL)).start()
-
-
-def kpi_stream(traces: DataFrame) -> DataFrame:
-    """Append-only KPIs by minute straight from the stream; conversations are approximate here."""
-    return (traces.withColumn("tsstart", F.col("tsstart").cast("timestamp")).withWatermark("tsstart", "1 day")
-            .groupBy(F.window("tsstart", "1 minute").alias("w"), "codagent")
-            .agg(F.approx_count_distinct("idconversation").alias("cntconversations"), F.count(F.lit(1)).alias("cntinteractions"),
-                 F.percentile_approx("amntdurationms", 0.95).alias("amntdurationp95"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("tsbucket"), "codagent", "cntconversations", "cntinteractions", "amntdurationp95"))

@@ -27,18 +27,30 @@ def trace(i, at, agent="a", ok=True, ms=100):
 def test_stream_equals_batch(spark, tmp_path):
     day = dt.datetime(2024, 1, 2)
     first = [trace(1, day - dt.timedelta(minutes=1)), trace(2, day), trace(3, day + dt.timedelta(minutes=1), "b", False)]
-    second = [trace(3, day + dt.timedelta(minutes=1), "b", False), trace(4, day + dt.timedelta(hours=2)), trace(5, day - dt.timedelta(hours=49))]  # one repeat, one too late
+    second = [trace(3, day + dt.timedelta(minutes=1), "b", False), trace(4, day + dt.timedelta(hours=2)), trace(5, day - dt.timedelta(hours=49))]  # one repeat, one two days late
     for n, rows in enumerate((first, second)):
         spark.createDataFrame(rows, schemas.TRACE).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         newest = max(glob.glob(str(tmp_path / "in" / "*.parquet")), key=os.path.getmtime)
         os.utime(newest, (1_700_000_000 + n, 1_700_000_000 + n))
     stream = gold.gold_stream(gold.read_traces(spark, str(tmp_path / "in"), 1), str(tmp_path / "gold"), str(tmp_path / "ckpt"), ["kpis", "tool_invocations"], available_now=True)
     stream.awaitTermination(120)
-    expected = gold.kpis(spark.createDataFrame(first + second[1:2], schemas.TRACE))
+    expected = gold.kpis(spark.createDataFrame(first + second[1:], schemas.TRACE))
     stored = spark.read.parquet(str(tmp_path / "gold" / "kpis")).select(*expected.columns)
     key = lambda r: (r["descgrain"], str(r["tsbucket"]), r["codagent"])
     plain = lambda df: sorted([tuple(str(v) for v in r) for r in df.collect()])
     assert plain(stored) == plain(expected)
+    gone = gold.expire(spark, str(tmp_path / "gold"), dt.date(2024, 1, 1), ["kpis"])
+    assert len(gone) == 4 and all("2023-12-30" in g for g in gone)
+    left = spark.read.parquet(str(tmp_path / "gold" / "kpis"))
+    assert {str(r[0]) for r in left.select("dtbucket").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+
+
+def test_recent_traces_keep_the_whole_window(spark):
+    day = dt.datetime(2024, 1, 3)
+    rows = spark.range(6000).select(*[F.lit(v).cast(f.dataType).alias(f.name) if f.name not in ("idtrace", "tsstart") else
+                                      F.col("id").cast("string").alias("idtrace") if f.name == "idtrace" else (F.lit(day) - F.make_dt_interval(secs=F.col("id") * 60)).cast("timestamp_ntz").alias("tsstart")
+                                      for f, v in ((f, trace(1, day)[f.name]) for f in schemas.TRACE.fields)])
+    assert gold.recent_traces(rows).count() == 48 * 60 + 1
 
 
 def test_chart_page(spark):
