@@ -20,6 +20,8 @@ from .dedup import top_per_key
 _SEPARATOR = "\u0001"
 _ALWAYS = "0001-01-01"
 _FOREVER = "9999-12-31"
+# days of two thousand years make at most 90 pieces
+BLOCKS = tuple(8 ** n for n in range(7))
 
 
 @dataclass(frozen=True)
@@ -31,8 +33,9 @@ class MatchRule:
     dated     the claim must be settled on or before the invoice's date
     unique    ids with more than one match are released to the later rules
     between   (lowest, highest, value): the whole number ``value`` of the claim must lie in
-              the invoice's closed interval.  Short intervals are listed unit by unit on the
-              invoice side; with ``block`` the middle is listed in blocks of that many units.
+              the invoice's closed interval.  The invoice lists the blocks that make up its
+              interval, the claim the blocks that hold its value.
+    widths    widths of the blocks, each a multiple of the one before; the first is 1
     """
 
     rank: int
@@ -44,7 +47,7 @@ class MatchRule:
     dated: bool = True
     unique: bool = False
     between: tuple[Column, Column, Column] | None = None
-    block: int | None = None
+    widths: tuple[int, ...] = BLOCKS
 
 
 def _key(parts: list[Column]) -> Column:
@@ -54,27 +57,34 @@ def _key(parts: list[Column]) -> Column:
     return F.concat(*joined)
 
 
-def _units(low: Column, high: Column) -> Column:
-    """low, low + 1, ..., high; nothing when the interval is empty."""
-    return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+def _units(low: Column, end: Column) -> Column:
+    """low, low + 1, ..., end - 1; nothing when the interval is empty."""
+    return F.when(low < end, F.sequence(low, end - 1)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _cover(low: Column, high: Column, block: int | None) -> Column:
-    """Names of disjoint pieces that make up [low, high]: units, and blocks in the middle."""
-    name = lambda kind, values: F.transform(values, lambda v: F.concat(F.lit(kind), v.cast("string")))
-    if block is None:
-        return name("u", _units(low, high))
-    first, last = F.ceil(low / block), F.floor((high + 1) / block) - 1
-    split = first <= last
-    ends = F.concat(_units(low, first * block - 1), _units((last + 1) * block, high))
-    return F.concat(name("u", F.when(split, ends).otherwise(_units(low, high))),
-                    name("b", F.when(split, _units(first, last)).otherwise(F.array().cast("array<bigint>"))))
+def _cover(low: Column, high: Column, widths: tuple[int, ...]) -> Column:
+    """Names of disjoint pieces that make up [low, high]: the widest blocks that fit, narrower ones at both ends.
 
-
-def _pieces(value: Column, block: int | None) -> list[Column]:
+    With ratios of 8 an interval has at most 14 pieces of a width, whatever its length.
+    """
+    named = lambda n: lambda v: F.concat(F.lit(f"{n}:"), v.cast("string"))
+    first = [F.ceil(low / w) for w in widths]
+    end = [F.floor((high + 1) / w) for w in widths]
+    pieces = []
+    for n, w in enumerate(widths):
+        whole = _units(first[n], end[n])
+        if n + 1 < len(widths):
+            ratio = widths[n + 1] // w
+            inner = first[n + 1] < end[n + 1]
+            ends = F.concat(_units(first[n], first[n + 1] * ratio), _units(end[n + 1] * ratio, end[n]))
+            whole = F.when(inner, ends).otherwise(whole)
+        pieces.append(F.transform(whole, named(n)))
+    return F.concat(*pieces)
+
+
+def _pieces(value: Column, widths: tuple[int, ...]) -> list[Column]:
     """Every piece a value belongs to."""
-    unit = F.concat(F.lit("u"), value.cast("string"))
-    return [unit] if block is None else [unit, F.concat(F.lit("b"), F.floor(value / block).cast("string"))]
+    return [F.concat(F.lit(f"{n}:"), F.floor(value / w).cast("string")) for n, w in enumerate(widths)]
 
 
 def _entry(rule: MatchRule, parts: list[Column], date_name: str, date: Column) -> Column:
@@ -87,7 +97,7 @@ def _probe_entries(rule: MatchRule, as_of: Column) -> Column:
         entries = F.array(_entry(rule, list(rule.probe_keys), "as_of", date))
     else:
         low, high, _ = (c.cast("bigint") for c in rule.between)
-        entries = F.transform(_cover(low, high, rule.block), lambda piece: _entry(rule, [*rule.probe_keys, piece], "as_of", date))
+        entries = F.transform(_cover(low, high, rule.widths), lambda piece: _entry(rule, [*rule.probe_keys, piece], "as_of", date))
     return entries if rule.probe_where is None else F.when(rule.probe_where, entries)
 
 
@@ -97,7 +107,7 @@ def _claim_entries(rule: MatchRule, since: Column) -> Column:
         entries = F.array(_entry(rule, list(rule.claim_keys), "since", date))
     else:
         value = rule.between[2].cast("bigint")
-        entries = F.array(*[_entry(rule, [*rule.claim_keys, piece], "since", date) for piece in _pieces(value, rule.block)])
+        entries = F.array(*[_entry(rule, [*rule.claim_keys, piece], "since", date) for piece in _pieces(value, rule.widths)])
     return entries if rule.claim_where is None else F.when(rule.claim_where, entries)
 
 

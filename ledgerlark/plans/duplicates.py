@@ -120,7 +120,7 @@ def rules(by_site: bool = False) -> list[MatchRule]:
                   registered, settled),
         MatchRule(2, MESSAGES[2], (c("cod_autorizacion"), c("cie10_siteds_ocr"), day),
                   (claim("id_autorizacion"), claim("num_diagnostico_origen"), claim_day),
-                  registered & cpm, settled & (claim("cod_mecanismo_pago") == "01"), between=near_amounts, block=AMOUNT_BLOCK),
+                  registered & cpm, settled & (claim("cod_mecanismo_pago") == "01"), between=near_amounts, widths=(1, AMOUNT_BLOCK)),
         MatchRule(3, MESSAGES[3], (c("num_factura_documento_ocr"), c("ruc_proveedor_emisor_ocr")),
                   (c("factura"), claim("num_documento_proveedor_siniestro")), None, settled),
         MatchRule(4, MESSAGES[4], (provider, member, c("cod_contratante_origen_sistema"), F.trunc(day, "MM"), *site, *contract),
@@ -194,5 +194,5 @@ def attach_duplicates(enriched: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Duplicate columns on every row of the invoice number."""
     found = duplicates.select(
         F.col("num_factura_documento_ocr").alias("__n"), "flag_dup", "factura_duplicada", "fec_atencion",
-        F.col("num_siniestro").alias("num_siniestro_factDup"), "dsc_dup", "dsc_abono", "estado_procesado", "monto_duplicado")
-    return enriched.join(found, F.col("num_factura_documento_ocr") == F.col("__n"), "left").drop("__n").distinct()
+        F.col("num_siniestro").alias("num_siniestro_factDup"), "dsc_dup", "dsc_abono", "estado_procesado", "monto_duplicado").distinct()
+    return enriched.join(found, F.col("num_factura_documento_ocr") == F.col("__n"), "left").drop("__n")

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerlark.operators.waterfall import MatchRule, match_waterfall
+from ledgerlark.operators.waterfall import BLOCKS, MatchRule, _cover, _pieces, match_waterfall
 
 INVOICE = "id string, number string, k1 string, k2 string, amount bigint, as_of date"
 CLAIM = "factura string, c1 string, c2 string, c_amount bigint, since date, occurred date"
@@ -15,7 +15,7 @@ def rules():
     c = F.col
     return [
         MatchRule(1, "a", (c("k1"), c("k2")), (c("c1"), c("c2"))),
-        MatchRule(2, "b", (c("k1"),), (c("c1"),), between=(c("amount") - 12, c("amount") + 12, c("c_amount")), block=5),
+        MatchRule(2, "b", (c("k1"),), (c("c1"),), between=(c("amount") - 12, c("amount") + 12, c("c_amount")), widths=(1, 5)),
         MatchRule(3, "c", (c("number"),), (c("factura"),)),
         MatchRule(4, "d", (c("k2"),), (c("c2"),), unique=True),
         MatchRule(5, "e", (c("amount"),), (c("c_amount"),), dated=False),
@@ -90,3 +90,21 @@ def test_null_id_voids_later_rules(spark):
     for seed in (11, 12):
         invoices, claims = random_case(seed, nameless=True)
         assert run(spark, invoices, claims) == by_hand(invoices, claims), seed
+
+
+def test_any_interval_is_a_few_pieces(spark):
+    r = random.Random(5)
+    spans = [(r.randrange(-800_000, 100_000), length) for length in (0, 1, 7, 8, 9, 400, 7300, 730_000, -1, -50) for _ in range(40)]
+    rows = spark.createDataFrame([(n, low, low + length) for n, (low, length) in enumerate(spans)], "n int, low bigint, high bigint")
+    covers = {x.n: (x.low, x.high, x.pieces) for x in rows.select("*", _cover(F.col("low"), F.col("high"), BLOCKS).alias("pieces")).collect()}
+    for low, high, pieces in covers.values():
+        assert len(pieces) <= 100
+        spans_of = sorted((int(p.split(":")[1]) * BLOCKS[int(p.split(":")[0])], BLOCKS[int(p.split(":")[0])]) for p in pieces)
+        at = low
+        for start, width in spans_of:
+            assert start == at
+            at += width
+        assert at == high + 1 or (not pieces and high < low)
+    inside = spark.createDataFrame([(low, high, v) for low, high in ((3, 5000),) for v in (2, 3, 70, 5000, 5001)], "low bigint, high bigint, v bigint")
+    met = inside.select("v", F.size(F.array_intersect(_cover(F.col("low"), F.col("high"), BLOCKS), F.array(*_pieces(F.col("v"), BLOCKS)))).alias("n")).collect()
+    assert {x.v: x.n for x in met} == {2: 0, 3: 1, 70: 1, 5000: 1, 5001: 0}
