@@ -87,10 +87,6 @@ def within(a: Column, b: Column, tolerance: float) -> Column:
     return truncate(b).between(truncate(a) - tolerance, truncate(a) + tolerance)
 
 
-def safe_ratio(part: Column, whole: Column) -> Column:
-    return F.try_divide(part, whole)
-
-
 def scaled(value: Column, scale: str = "MM", digits: int = 2) -> Column:
     """Number in thousands or millions, rounded."""
     return F.round(value / F.lit(SCALES[scale]), digits)

@@ -7,18 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A literal table larger than this is joined by shuffle instead of broadcast.
-MAX_BROADCAST_ROWS = 10_000
-
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Fixed rows as a frame; broadcast only while the row count is known to be small."""
-    df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    """Fixed rows as a frame; how it is joined is left to the size Spark sees."""
+    return spark.createDataFrame(rows, schema)
 
 
 def attach_group(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:

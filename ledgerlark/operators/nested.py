@@ -65,6 +65,13 @@ def dominant_value(values: Column) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["best"])
 
 
+def dominant_values(df: DataFrame, key: str, values: Column, name: str) -> DataFrame:
+    """(key, name): the same per key of ``df``, for long arrays: counted by value with partial sums before the shuffle."""
+    words = df.select(F.col(key), F.posexplode_outer(values).alias("__at", "__value"))
+    counted = words.groupBy(key, "__value").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    return counted.groupBy(key).agg(F.max_by("__value", F.struct("__n", -F.col("__first"))).alias(name))
+
+
 def conform(col: Column, have: T.StructType, want: T.StructType) -> Column:
     """A struct with the wanted fields: kept, cast, or null of the wanted type."""
     names = set(have.fieldNames())

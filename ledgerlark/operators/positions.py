@@ -63,6 +63,8 @@ def with_neighbours(df: DataFrame, keys: list[str], position: str, reach: int, r
     it needs and no key is held by a single task.  ``values`` maps a name to a function
     taking the window (ordered by position) and returning a Column.
     """
+    if reach > rows_per_chunk:
+        raise ValueError(f"a chunk of {rows_per_chunk} rows cannot look back {reach} rows")
     chunk = F.floor(F.col(position) / rows_per_chunk)
     offset = F.pmod(F.col(position), F.lit(rows_per_chunk))
     copies = F.when(offset >= rows_per_chunk - reach, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))

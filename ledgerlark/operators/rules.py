@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,14 @@ def rule_flags(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return df.select("*", *[F.when(c, 1).otherwise(0).alias(n) for n, c in conditions.items()])
 
 
-def _fired(rules: list[Rule]) -> Column:
-    pairs = [F.struct(F.coalesce(r.condition, F.lit(False)).alias("condition"),
-                      (F.lit(r.message) if isinstance(r.message, str) else r.message).alias("message"))
-             for r in rules]
-    return F.transform(F.filter(F.array(*pairs), lambda p: p["condition"]), lambda p: p["message"])
+def _any_fired(rules: list[Rule]) -> Column:
+    return reduce(lambda a, b: a | b, [F.coalesce(r.condition, F.lit(False)) for r in rules], F.lit(False))
+
+
+def _alerts(rules: list[Rule], ok: Column, ok_message: str) -> Column:
+    """An array with a message for each fired rule and for OK, null in the other places; a fired rule's own message may be null."""
+    messages = [F.when(r.condition, F.struct(F.lit(r.message).alias("m") if isinstance(r.message, str) else r.message.alias("m"))) for r in rules]
+    return F.array(*messages, F.when(ok, F.struct(F.lit(ok_message).alias("m"))))
 
 
 def explode_rules(df: DataFrame, key: str, rules: list[Rule], keep: list[str], ok_message: str = OK_MESSAGE,
@@ -41,16 +45,12 @@ def explode_rules(df: DataFrame, key: str, rules: list[Rule], keep: list[str], o
     With one row per key the OK row is decided inside the row: no join, no shuffle.
     Otherwise a row earns its OK only when no row of the same key fired.
     """
-    ok = F.array(F.lit(ok_message))
-    fired = df.withColumn("__fired", _fired(rules))
-    if unique_key:
-        clean = (F.size("__fired") == 0) | F.col(key).isNull()
-    else:
-        fired = attach_group(fired, [key], __most=F.max(F.size("__fired")))
-        clean = (F.col("__most") == 0) | F.col(key).isNull()
-    messages = F.when(clean, F.concat("__fired", ok)).otherwise(F.col("__fired"))
-    rows = fired.select(*keep, F.explode(messages).alias("reglas_mensaje"))
-    return with_state(rows)
+    fired = df.withColumn("__any", _any_fired(rules))
+    if not unique_key:
+        fired = attach_group(fired, [key], __some=F.max("__any")).withColumn("__any", F.col("__some"))
+    clean = ~F.col("__any") | F.col(key).isNull()
+    rows = fired.select(*keep, F.explode(_alerts(rules, clean, ok_message)).alias("__alert")).where(F.col("__alert").isNotNull())
+    return with_state(rows.select(*keep, F.col("__alert.m").alias("reglas_mensaje")))
 
 
 def with_state(df: DataFrame, message: str = "reglas_mensaje") -> DataFrame:

@@ -163,12 +163,12 @@ def network_extract(summary: DataFrame, period: str, config: AuditConfig) -> Dat
 def message_figures(summary: DataFrame, rejection: DataFrame) -> DataFrame:
     """Figures of the daily message: counts as whole numbers, amounts in millions, share in percent."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    first = summary.limit(1).select(
+    first = summary.orderBy(*summary.columns).limit(1).select(
         F.lit(1).alias("__one"), F.col("ctdFacturas").cast("bigint").alias("invoice_number"), money.scaled_text(zero("mtoFacturado")).alias("invoice_amount"),
         F.col("ctdFactObservadas").cast("bigint").alias("invoice_number_obs"),
         F.round(100 * zero("pctFactObs"), 2).alias("invoice_number_obs_percentage"),
         money.scaled_text(zero("mtoObservado")).alias("obs_amount"), money.scaled_text(zero("mtoPotAhorro")).alias("potencial_amount"))
-    rejected = rejection.limit(1).select(
+    rejected = rejection.orderBy(*rejection.columns).limit(1).select(
         F.lit(1).alias("__one"), F.col("ctdFacturas").cast("bigint").alias("total_rejected_invoice"),
         money.scaled_text(zero("mtoFacturado")).alias("total_rejected_amount"))
     return first.join(rejected, "__one", "left").drop("__one")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import floor_to, instant, month_start
 from ..operators import aggregates as agg
 from ..operators import joins, profile
-from ..operators.nested import dominant_value
+from ..operators.nested import dominant_values
 from ..operators.positions import row_position
 from ..sources.incremental import newer_than_watermark
 from .registry import query, r6, sql_r6
@@ -111,7 +111,7 @@ def _(t):
 WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS pos FROM documents)
 SELECT doc_id, word FROM (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, min(pos), word) AS rn FROM w GROUP BY 1, 2) WHERE rn = 1""")
 def _(t):
-    return t.documents.select("doc_id", dominant_value(F.split("text", " ")).alias("word"))
+    return dominant_values(t.documents, "doc_id", F.split("text", " "), "word")
 
 
 @query("a14_watermark", """

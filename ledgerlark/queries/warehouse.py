@@ -11,7 +11,7 @@ from ..operators.joins import bridge
 from ..plans import claims as claim_plans
 from ..plans import consolidation, enrichment, provider_feed, reports
 from ..plans.config import AuditConfig
-from ..sources import incremental, lookups
+from ..sources import incremental, io, lookups
 from .registry import Tables, query, r6, sql_r6
 
 K, C, P = "o_orderkey", "o_custkey", "o_totalprice"
@@ -396,17 +396,20 @@ def _(t):
 
 @query("b10_emptiness", "SELECT (SELECT count(*) FROM orders) = 0 AS all_empty, (SELECT count(*) FROM orders WHERE o_totalprice < 0) = 0 AS negative_empty")
 def _(t):
-    counts = t.orders.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(P) < 0).alias("m"))
-    return counts.select((F.col("n") == 0).alias("all_empty"), (F.col("m") == 0).alias("negative_empty"))
+    everything, negative = io.is_empty(t.orders), io.is_empty(t.orders.where(F.col(P) < 0))
+    return t.spark.range(1).select(everything.scalar().alias("all_empty"), negative.scalar().alias("negative_empty"))
 
 
 # --- incremental writes ----------------------------------------------------------------------
-@query("i1_period_replaced_twice", "SELECT o_orderpriority AS processed_date, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+@query("i1_period_replaced_twice", "SELECT o_orderpriority AS processed_date, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1")
 def _(t):
     path = incremental.shared_folder(t.spark, "period")
     df = t.orders.select(K, P, F.col("o_orderpriority").alias("processed_date"))
+    periods = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     for _run in range(2):
-        incremental.replace_period(df, path)
+        incremental.replace_period(df, path, periods)
+    # a rerun of one period that finds nothing must leave nothing of it
+    incremental.replace_period(df.where("false"), path, ["1-URGENT"])
     return t.spark.read.parquet(path).groupBy(F.col("processed_date").cast("string").alias("processed_date")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(P), 2).alias("total"))
 
 

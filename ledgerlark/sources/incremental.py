@@ -15,10 +15,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def replace_period(df: DataFrame, path: str, period_column: str = "processed_date") -> None:
-    """Delete the periods present in ``df`` and insert its rows; other periods stay."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def replace_period(df: DataFrame, path: str, periods: list[str], period_column: str = "processed_date") -> None:
+    """Delete the run's periods and insert the rows of ``df``, which must belong to them; other periods stay.
+
+    A period that yields no rows is left empty, so a rerun never keeps what an earlier one wrote.
+    """
+    spark = df.sparkSession
+    inside = F.col(period_column).cast("string").isin(periods)
+    checked = df.where(F.when(inside, True).otherwise(F.raise_error(F.concat(F.lit("row outside the run's periods: "), F.coalesce(F.col(period_column).cast("string"), F.lit("null"))))))
+    (checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(period_column).parquet(path))
+    written = {r[0] for r in df.select(F.col(period_column).cast("string")).distinct().collect()}
+    for period in set(periods) - written:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{period_column}={period}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def newer_than_watermark(source: DataFrame, target: DataFrame, instant: str, same: dict[str, str],
@@ -43,12 +53,3 @@ def update_from(df: DataFrame, updates: DataFrame, on: Column, columns: list[str
     return joined.select(*[
         F.when(marked["__hit"], marked[c]).otherwise(df[c]).alias(c) if c in columns else df[c]
         for c in df.columns])
-
-
-def delete_where_in(df: DataFrame, condition: Column, key: str, ids: DataFrame) -> DataFrame:
-    """DELETE … WHERE condition AND key IN (ids)."""
-    marked = ids.select(F.col(key).alias("__id")).distinct()
-    joined = df.join(marked, F.col(key) == F.col("__id"), "left")
-    return joined.where(~(F.coalesce(condition, F.lit(False)) & F.col("__id").isNotNull())).drop("__id")
-
-

@@ -64,10 +64,10 @@ def save_metrics(spark: SparkSession, metrics: list[dict], path: str, version: s
 
 
 def serving_lookup(df: DataFrame, **equal) -> DataFrame:
-    """First stored row with these values; an empty frame when there is none."""
+    """First stored row with these values, in the order of its columns; an empty frame when there is none."""
     for name, value in equal.items():
         df = df.where(F.col(name) == value)
-    return df.limit(1)
+    return df.orderBy(*df.columns).limit(1)
 
 
 def compare_window(predictions: DataFrame, observations: DataFrame, keys: list[str], time: str,
@@ -84,5 +84,6 @@ def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFram
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def is_empty(df: DataFrame) -> DataFrame:
+    """One row: whether the frame has no rows; only the first row is looked for."""
+    return df.limit(1).agg((F.count(F.lit(1)) == 0).alias("empty"))
