@@ -13,6 +13,12 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     return spark.createDataFrame(rows, schema)
 
 
+def spread_null(df: DataFrame, key: Column) -> Column:
+    """A join key as text in which null is a value of its own for each row: it meets nothing, as null would, but
+    rows without a key do not all go to one task."""
+    return F.coalesce(key.cast("string"), F.concat(F.lit("\x00"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string")))
+
+
 def attach_group(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
     """Group aggregates on every row of the group.
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.incremental import written
 from .dedup import top_per_key
 
 _SEPARATOR = "\u0001"
@@ -153,14 +154,17 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     best_other  the newest one whose invoice number differs from the invoice's own
     newest      payload columns ordering the claims (largest wins); the rest of the
                 payload breaks ties
-    A null id that matches a rule voids all later rules, as NOT IN does.
+    A null id that matches a rule voids all later rules, as NOT IN does.  Both keyed tables are written once,
+    as each is used several times.
     """
     present = lambda arrays: F.flatten(F.filter(F.array(*arrays), lambda a: a.isNotNull()))
     probes = _explode(invoices, present([_probe_entries(r, as_of) for r in rules]), "as_of",
                       F.col(id).alias("id"), F.col(own).alias("own"))
     entries = _explode(claims, present([_claim_entries(r, since) for r in rules]), "since", *[F.col(c) for c in payload]).distinct()
+    entries = written(entries, "waterfall-entries")
     # most probes meet no claim at all; they leave before anything is sorted
     probes = probes.join(entries.select("rule", "key").distinct(), ["rule", "key"], "left_semi").distinct()
+    probes = written(probes, "waterfall-probes")
     ordered = [*newest, *[c for c in payload if c not in newest]]
     answers = accumulate(probes, entries, other, F.struct(*ordered))
     other_best = F.when(F.col("own") != F.col(f"first.{other}"), F.col("first")).otherwise(F.col("second"))

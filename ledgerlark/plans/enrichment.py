@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, money
 from ..operators.dedup import top_per_key
-from ..operators.joins import lookup_with_default
+from ..operators.joins import lookup_with_default, spread_null
 from ..operators.rules import Rule, explode_rules, rule_flags
 from ..sources import lookups
 from .config import AuditConfig
@@ -52,7 +52,7 @@ def _with_claim(df: DataFrame, claims: DataFrame) -> DataFrame:
 def _with_policy(df: DataFrame, policies: DataFrame) -> DataFrame:
     right = policies.select(F.col("nro_documento_paciente").alias("__doc"), F.col("periodo").alias("__month"), "des_agrupacion_n1").distinct()
     month = dates.month_start(F.col("fecha_emision_siteds_ocr"))
-    joined = df.join(right, (F.col("num_documento_paciente_siteds_ocr_val") == F.col("__doc")) & (month == F.col("__month")), "left")
+    joined = df.join(right, (spread_null(df, F.col("num_documento_paciente_siteds_ocr_val")) == F.col("__doc").cast("string")) & (month == F.col("__month")), "left")
     company, group = F.col("ruc_compania_factura_ocr"), F.col("des_agrupacion_n1")
     same_plan = None
     for ruc, plan in PLAN_GROUPS.items():
@@ -79,12 +79,12 @@ def _with_attentions(df: DataFrame, attentions: DataFrame) -> DataFrame:
 def _with_letter_state(df: DataFrame, states: DataFrame) -> DataFrame:
     number = F.get(F.split("nro_carta", "-"), F.lit(0)).try_cast("bigint")
     right = states.select(F.col("num_carta_garantia").alias("__c"), F.col("num_documento_proveedor").alias("__r"), "flag_cg_anulada")
-    return df.join(right, (number == F.col("__c")) & (F.col(RUC) == F.col("__r")), "left").drop("__c", "__r")
+    return df.join(right, (spread_null(df, number) == F.col("__c").cast("string")) & (F.col(RUC) == F.col("__r")), "left").drop("__c", "__r")
 
 
 def _with_validity(df: DataFrame, validity: DataFrame) -> DataFrame:
     right = validity.select(F.col("id_persona").alias("__p"), F.col("id_poliza").alias("__pol"), "fec_inicio_vigencia", "fec_fin_vigencia")
-    on = (F.col("id_persona_afiliado") == F.col("__p")) & (F.col("id_poliza") == F.col("__pol"))
+    on = (spread_null(df, F.col("id_persona_afiliado")) == F.col("__p").cast("string")) & (F.col("id_poliza") == F.col("__pol"))
     return df.join(right, on, "left").drop("__p", "__pol")
 
 

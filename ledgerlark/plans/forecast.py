@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import timeseries as ts
 from ..operators.aggregates import fill_with_means, regression_metrics
 from ..session import ensure_checkpoint_dir
+from ..sources.incremental import written
 
 # --- fixed values -----------------------------------------------------------
 TOP_FEATURES = 20
@@ -42,15 +43,15 @@ class Trained:
     averages: dict
 
 
-def training_frame(features: DataFrame, target: DataFrame) -> DataFrame:
+def training_frame(features: DataFrame, target: DataFrame, stations: list[str] = STATIONS) -> DataFrame:
     """Readings with their target, then every feature; rows without a full history are dropped."""
-    return add_features(features.join(target, [TIME, STATION]), spine=False).na.drop()
+    return add_features(features.join(target, [TIME, STATION]), False, stations).na.drop()
 
 
-def scoring_frame(spine: DataFrame, features: DataFrame, target: DataFrame) -> DataFrame:
+def scoring_frame(spine: DataFrame, features: DataFrame, target: DataFrame, stations: list[str] = STATIONS) -> DataFrame:
     """Complete hours with means in the gaps, then every feature."""
     joined = spine.join(features, [TIME, STATION], "left").join(target, [TIME, STATION], "left")
-    return add_features(fill_with_means(joined.select(TIME, STATION, *FEATURES, TARGET), [*FEATURES, TARGET]), spine=True)
+    return add_features(fill_with_means(joined.select(TIME, STATION, *FEATURES, TARGET), [*FEATURES, TARGET]), True, stations)
 
 
 def add_features(df: DataFrame, spine: bool, stations: list[str] = STATIONS) -> DataFrame:
@@ -82,6 +83,7 @@ def train(df: DataFrame, columns: list[str], target: str, parameters: TreeParame
     share, so the metrics describe the model as it is validated.
     """
     metrics, model = [], None
+    df = written(df, "fold-features")  # every fold reads it twice
     for fold in range(splits):
         part = ts.fold_part(fold, F.col("position"), F.col("n_rows"), splits)
         model = fit(df.where(part == "train"), columns, target, parameters)

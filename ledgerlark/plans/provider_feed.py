@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions.text import label_map
 from ..operators.nested import unnest
+from ..operators.joins import spread_null
 from ..operators.rules import Rule, explode_rules, rule_flags
 from ..sources import feed, lookups
 from .claims import claim_invoice, letter_validity
@@ -109,7 +110,7 @@ def with_attention_counts(df: DataFrame, authorisations: DataFrame) -> DataFrame
     month = dates.month_start(F.col("fecha_emision_siteds_ocr"))
     on = ((month == F.col("__period")) & (F.col(RUC) == F.col("__num_doc_proveedor"))
           & (F.col("cod_sede_proveedor_siniestro") == F.col("__cod_sede_proveedor"))
-          & (F.col("id_persona_afiliado") == F.col("__id_persona_afiliado")) & (F.col("des_cobertura") == F.col("__des_cobertura"))
+          & (spread_null(df, F.col("id_persona_afiliado")) == F.col("__id_persona_afiliado").cast("string")) & (F.col("des_cobertura") == F.col("__des_cobertura"))
           & (F.col("des_producto") == F.col("__des_producto")))
     df = df.join(per_key, on, "left").drop("__period", *[f"__{k}" for k in key])
     df = df.withColumn("__month", month)

@@ -15,7 +15,7 @@ AMOUNT = "CAST(floor(o_totalprice / 20000) * 10.25 AS DOUBLE)"
 INVOICES = {
     "id": f"concat('F', {K}, 'R', {C} % 20)", "num_factura_documento_ocr": f"concat('F', {K})", "ruc_proveedor_emisor_ocr": f"concat('R', {C} % 20)",
     "dni_factura_ocr": f"concat('D', {C})", "num_siteds_ocr_val": f"CASE WHEN {K} % 7 <> 0 THEN concat('A', {C} * 2 + {K} % 2) END",
-    "fecha_emision_siteds_ocr": f"(CAST(concat(year(o_orderdate), '-01-01') AS DATE) + CAST({K} % 4 AS INT))", "num_poliza_siteds_ocr": f"concat('P', {C} % 100)",
+    "fecha_emision_siteds_ocr": f"(CAST(concat(year(o_orderdate), '-01-01') AS DATE) + CAST(CASE {K} % 11 WHEN 0 THEN -400 WHEN 1 THEN -7300 WHEN 2 THEN 40 ELSE {K} % 4 END AS INT))", "num_poliza_siteds_ocr": f"concat('P', {C} % 100)",
     "monto_factura_ocr": AMOUNT, "cie10_siteds_ocr": f"concat('J', {K} % 3)", "cod_cie101_trama_sited": f"concat('J', {K} % 2)",
     "processed_date": "(CAST(o_orderdate AS DATE) + CAST(300 AS INT))", "mecanismo_pago_fact_trama": f"CASE WHEN {K} % 2 = 0 THEN '02' ELSE '01' END",
     "codigoproducto_trama": f"concat('X', {K} % 2)", "mecanismo_liqui_ocr": "'01'", "numero_carta_garantia": f"concat('25-', {C} % 10)", "version": "1",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..operators import aggregates as agg
 from ..operators import timeseries as ts
 from ..plans import forecast as model
 from ..sources import io
-from ..sources.incremental import shared_folder
+from ..sources.incremental import shared_folder, written
 from .registry import Tables, query, r6_columns, sql_r6
 
 TIME, STATION = "READING_DATETIME", "STATION_ID"
@@ -44,7 +46,7 @@ JOINED = "joined AS (SELECT * FROM spine LEFT JOIN hourly USING (STATION_ID, REA
 
 
 def filled_readings(t: Tables) -> DataFrame:
-    readings = hourly_readings(t)
+    readings = written(hourly_readings(t), "hourly")
     spine = ts.spine_of(readings, TIME, STATION)
     return agg.fill_with_means(spine.join(readings, [STATION, TIME], "left"), VARIABLES)
 
@@ -141,6 +143,50 @@ def _(t):
     return r6_columns(filled_readings(t), VARIABLES)
 
 
+_FLAGS = [f"LABEL_{STATION}_{k}" for k in KINDS]
+_FEATURE_LIST = f"""{TIME}, hour_{TIME}, dayofweek_{TIME}, month_{TIME}, dayofyear_{TIME}, year_{TIME}, STATION_ID AS station,
+  {", ".join(f"CASE WHEN STATION_ID = '{k}' THEN 1 ELSE 0 END AS LABEL_STATION_ID_{k}" for k in KINDS)}, {", ".join(f"{sql_r6(c)} AS {c}" for c in FEATURE_DOUBLES)}"""
+
+
+def _features_sql(source: str, where: str = "") -> str:
+    return f"""parts AS (SELECT *, {TIME_PARTS} FROM {source}),
+lagged AS (SELECT *, {_cyclic_sql()}, VELO * VELO AS VELO_SQ, 1 / (VELO + 1e-6) AS VELO_INV, {_lag_sql()} FROM parts WINDOW w AS (PARTITION BY STATION_ID ORDER BY READING_DATETIME))
+SELECT {_FEATURE_LIST} FROM lagged {where}"""
+
+
+def _sources(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Readings, their features and their target, as the two jobs take them."""
+    readings = written(hourly_readings(t), "hourly")
+    return readings, readings.select(TIME, STATION, *model.FEATURES), readings.select(TIME, STATION, model.TARGET)
+
+
+@query("m7_scoring_frame", f"WITH {HOURLY}, {SPINE}, {JOINED}, {FILLED}, {_features_sql('filled')}")
+def _(t):
+    readings, features, target = _sources(t)
+    return r6_columns(model.scoring_frame(ts.spine_of(readings, TIME, STATION), features, target, KINDS), FEATURE_DOUBLES)
+
+
+@query("m9_training_frame", f"WITH {HOURLY}, {_features_sql('hourly', 'WHERE VELO_lag_24 IS NOT NULL')}")
+def _(t):
+    _, features, target = _sources(t)
+    return r6_columns(model.training_frame(features, target, KINDS), FEATURE_DOUBLES)
+
+
+@query("m12_latest_hour", f"WITH {HOURLY} SELECT STATION_ID, {TIME}, {sql_r6('N_PM25')} AS prediction FROM hourly WHERE {TIME} = (SELECT max({TIME}) FROM hourly)")
+def _(t):
+    readings = written(hourly_readings(t), "hourly")
+    newest = readings.agg(F.max(TIME)).first()[0]
+    stored = readings.select(STATION, TIME, F.col("N_PM25").alias("prediction"))
+    return r6_columns(model.latest_hour(stored, newest + dt.timedelta(hours=5, minutes=59)), ["prediction"])
+
+
+@query("m6_default_window", """SELECT READING_DATETIME, STATION_ID FROM (SELECT unnest(generate_series(date_trunc('hour', max(ts)) - INTERVAL 41 HOUR, date_trunc('hour', max(ts)) - INTERVAL 5 HOUR, INTERVAL 1 HOUR))::TIMESTAMP AS READING_DATETIME FROM events),
+  (SELECT DISTINCT event_type AS STATION_ID FROM events)""")
+def _(t):
+    now = t.events.agg(F.max(floor_to("hour", F.col("ts")))).first()[0]
+    return ts.hour_spine(t.spark, *ts.default_window(now), [*KINDS, KINDS[0]])
+
+
 _FOLDS_SQL = f"""WITH {HOURLY}, placed AS (SELECT *, row_number() OVER (ORDER BY {TIME}, STATION_ID) - 1 AS place, count(*) OVER () AS n FROM hourly),
 bounds AS (SELECT *, fold, n - (10 - fold) * (n // 11) AS test, n // 11 AS size FROM placed, (SELECT unnest(range(10))::INTEGER AS fold)),
 parts AS (SELECT fold, CASE WHEN place < floor(test * 0.8) THEN 'train' WHEN place < test THEN 'validation' WHEN place < test + size THEN 'test' END AS part FROM bounds)

@@ -15,6 +15,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: plans that use it several times start from its files."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replace_period(df: DataFrame, path: str, periods: list[str], period_column: str = "processed_date") -> None:
     """Delete the run's periods and insert the rows of ``df``, which must belong to them; other periods stay.
 
