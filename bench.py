@@ -20,7 +20,7 @@ HEADLINE = [
     "flagship_hourly_features", "s5_invoice_feed", "s11_chart_series", "j5_star_join", "j7_not_in_sets", "j11_interval_join", "j12_tolerance_join",
     "j19_group_join_back", "a1_group_measures", "a4_count_distinct", "a9_null_profile", "a13_dominant_value", "w1_top1_per_key", "w6_prefix_max",
     "w8_rolling_mean", "n4_explode_chain", "d3_spanish_date", "d29_text_normal_form", "e1_consolidated_invoice", "r_alert_rows", "k1_same_authorisation",
-    "b6_daily_summary", "g2_kpis", "g5_latency_percentiles", "m7_scoring_source",
+    "b6_daily_summary", "g2_kpis", "g5_latency_percentiles", "m7_scoring_source", "k_waterfall", "k12_attach_duplicates", "e9_processed_claims", "g5_agent_metrics", "g8_kpis_sink",
 ]
 
 
