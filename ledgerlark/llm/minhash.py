@@ -4,8 +4,8 @@ A text is its bag of five-word shingles, each weighted by TF-IDF.  A sampled has
 with the chance its weight gives it, the same for two texts with the chance of their weighted
 Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  In a bucket all members are
 compared with its ``LEADERS`` most central ones, the members whose buckets hold the most texts, so small
-buckets are compared whole; the members that stay apart from all of them choose new ones in the next round, until a
-round finds nothing new.  A bucket costs comparisons in proportion to its members, however large it is.  Every link is
+buckets are compared whole; the members that stay apart from all of them choose ``WIDER`` times as many in the next round,
+until a round finds nothing new or has compared all.  A round costs comparisons in proportion to the members still apart.  Every link is
 verified by the exact weighted Jaccard similarity of the whole texts.
 
 Defined results: a null text is empty; texts without words are alike only if equal; repeated rows
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_rows, components, mixed, shingles, stage, text_key
 
-BANDS, ROWS, SIMILARITY, LEADERS, FILTER_BITS = 14, 4, 0.8, 6, 24
+BANDS, ROWS, SIMILARITY, LEADERS, WIDER, FILTER_BITS = 14, 4, 0.8, 6, 4, 24
 #: Document frequencies are counted by hashed feature, as Spark ML's HashingTF does, with its number of features.
 FEATURE_BITS = 18
 _DRAWS = 1 << 14
@@ -166,15 +166,15 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     sketched = texts.mapInArrow(sketch, "key binary, bands array<bigint>")
     entries = stage(sketched.select("key", F.explode("bands").alias("bucket")).distinct(), "near-entries")
     sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stage(entries.join(sizes, "bucket"), "near-shared")
+    shared = stage(entries.join(sizes, "bucket"), "near-shared")  # a text alone in its buckets has no partner
     central = shared.groupBy("key").agg(F.sum("size").alias("mates"))
     members = stage(shared.join(central, "key"), "near-members")
     held = stage(_texts_of(texts, members.select("key").distinct()), "near-texts")
 
-    links = None
+    links, wide = None, LEADERS
     most_central = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
     while True:
-        leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= LEADERS)
+        leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= wide)
         led = stage(members.select("bucket", "key").join(leaders.select("bucket", F.col("key").alias("leader")), "bucket").where("key <> leader"), "near-led")
         pairs = led.select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v")).distinct()
         found = stage(_verified(pairs, held, sampler, similarity), "near-links")
@@ -182,7 +182,9 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
         # what a crowded bucket has left: members that neither lead nor follow a leader of theirs
         near = found.select(F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("v").alias("leader")), F.struct(F.col("v").alias("key"), F.col("u").alias("leader")))).alias("x")).select("x.*")
         done = led.join(near, ["key", "leader"], "left_semi").select("bucket", "key").unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
-        members = stage(members.where(F.col("size") > LEADERS + 1).join(done, ["bucket", "key"], "left_anti"), "near-members")
+        members = members.join(done, ["bucket", "key"], "left_anti")
+        members = stage(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("open")).where("open > 1").select("bucket"), "bucket", "left_semi"), "near-members")
+        wide *= WIDER
         if not found.limit(1).count() or not members.limit(1).count():
             return components(links, "near").select(F.col("node").alias("key"), "root")
 
