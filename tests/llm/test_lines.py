@@ -16,7 +16,7 @@ def test_templates_with_fields_are_dropped_from_hosts_and_copies(spark):
 
 
 def test_odd_rows(spark):
-    docs = odd_docs(spark, [(20 + i, f"text number {i}\nall of this line recurs in many texts\n" + f"own{i} " * 9, "en", "a", 5) for i in range(10)])
+    docs = odd_docs(spark, [(20 + i, f"text number {i}\nall of this line recurs in many texts\n" + f"own{i} " * 40, "en", "a", 5) for i in range(10)])
     out = lines.with_lines_dropped(docs)
     assert out.columns == docs.columns and out.count() == len(odd_rows()) + 10
     rows = {r.doc_id: r for r in out.where("doc_id >= 20").collect()}
