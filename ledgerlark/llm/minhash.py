@@ -5,7 +5,7 @@ with the chance its weight gives it, the same for two texts with the chance of t
 Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  In a bucket all members are
 compared with its ``LEADERS`` most central ones, the members whose buckets hold the most texts, so small
 buckets are compared whole; the members that stay apart from all of them choose ``WIDER`` times as many in the next round,
-until a round finds nothing new or has compared all.  A round costs comparisons in proportion to the members still apart.  Every link is
+until a round finds nothing new in the bucket or has compared all.  A round costs comparisons in proportion to the members still apart.  Every link is
 verified by the exact weighted Jaccard similarity of the whole texts.
 
 Defined results: a null text is empty; texts without words are alike only if equal; repeated rows
@@ -26,6 +26,8 @@ from .common import byte_rows, components, mixed, shingles, stage, text_key
 BANDS, ROWS, SIMILARITY, LEADERS, WIDER, FILTER_BITS = 14, 4, 0.8, 6, 4, 24
 #: Document frequencies are counted by hashed feature, as Spark ML's HashingTF does, with its number of features.
 FEATURE_BITS = 18
+#: Share of the documents from which on a shingle loses weight.
+COMMON = 0.1
 _DRAWS = 1 << 14
 
 
@@ -39,8 +41,10 @@ class Sampler:
         self.beta = draw.random(_DRAWS).astype(np.float32)
         self.factor = draw.integers(0, 1 << 63, hashes, np.uint64) * np.uint64(2) + np.uint64(1)
         self.shift = draw.integers(0, 1 << 63, hashes, np.uint64)
-        # the root keeps the few edits within a large family of copies from outweighing all that it shares
-        self.idf = np.sqrt(np.log1p(max(documents, 1) / np.maximum(frequencies, 1))).astype(np.float32)
+        # shingles in less than COMMON of the documents are equally rare: else the few edits of a copy would outweigh
+        # all that it shares with a large family
+        share = np.maximum(np.maximum(frequencies, 1) / max(documents, 1), COMMON)
+        self.idf = np.sqrt(np.log1p(1 / share)).astype(np.float32)
 
     def weights(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Different shingles of a text, ascending, and their TF-IDF weights."""
@@ -181,8 +185,9 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
         links = found if links is None else links.unionByName(found)
         # what a crowded bucket has left: members that neither lead nor follow a leader of theirs
         near = found.select(F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("v").alias("leader")), F.struct(F.col("v").alias("key"), F.col("u").alias("leader")))).alias("x")).select("x.*")
-        done = led.join(near, ["key", "leader"], "left_semi").select("bucket", "key").unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
-        members = members.join(done, ["bucket", "key"], "left_anti")
+        linked = stage(led.join(near, ["key", "leader"], "left_semi").select("bucket", "key").distinct(), "near-linked")
+        done = linked.unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
+        members = members.join(linked.select("bucket").distinct(), "bucket", "left_semi").join(done, ["bucket", "key"], "left_anti")
         members = stage(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("open")).where("open > 1").select("bucket"), "bucket", "left_semi"), "near-members")
         wide *= WIDER
         if not found.limit(1).count() or not members.limit(1).count():
