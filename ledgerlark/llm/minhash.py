@@ -4,7 +4,7 @@ A text is its bag of five-word shingles, each weighted by TF-IDF.  A sampled has
 with the chance its weight gives it, the same for two texts with the chance of their weighted
 Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  In a bucket all members are
 compared with its ``LEADERS`` most central ones, the members whose buckets hold the most texts, so small
-buckets are compared whole; the members that stay apart from all of them choose ``WIDER`` times as many in the next round,
+buckets are compared whole; the members that stay apart from all of them choose new ones in the next round,
 until a round finds nothing new in the bucket or has compared all.  A round costs comparisons in proportion to the members still apart.  Every link is
 verified by the exact weighted Jaccard similarity of the whole texts.
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_rows, components, mixed, shingles, stage, text_key
 
-BANDS, ROWS, SIMILARITY, LEADERS, WIDER, FILTER_BITS = 14, 4, 0.8, 6, 4, 24
+BANDS, ROWS, SIMILARITY, LEADERS, FILTER_BITS = 14, 4, 0.8, 6, 24
 #: Document frequencies are counted by hashed feature, as Spark ML's HashingTF does, with its number of features.
 FEATURE_BITS = 18
 #: Share of the documents from which on a shingle loses weight.
@@ -175,10 +175,10 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     members = stage(shared.join(central, "key"), "near-members")
     held = stage(_texts_of(texts, members.select("key").distinct()), "near-texts")
 
-    links, wide = None, LEADERS
+    links = None
     most_central = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
     while True:
-        leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= wide)
+        leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= LEADERS)
         led = stage(members.select("bucket", "key").join(leaders.select("bucket", F.col("key").alias("leader")), "bucket").where("key <> leader"), "near-led")
         pairs = led.select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v")).distinct()
         found = stage(_verified(pairs, held, sampler, similarity), "near-links")
@@ -189,7 +189,6 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
         done = linked.unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
         members = members.join(linked.select("bucket").distinct(), "bucket", "left_semi").join(done, ["bucket", "key"], "left_anti")
         members = stage(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("open")).where("open > 1").select("bucket"), "bucket", "left_semi"), "near-members")
-        wide *= WIDER
         if not found.limit(1).count() or not members.limit(1).count():
             return components(links, "near").select(F.col("node").alias("key"), "root")
 
