@@ -4,9 +4,11 @@ A text is its bag of five-word shingles, each weighted by TF-IDF.  A sampled has
 with the chance its weight gives it, the same for two texts with the chance of their weighted
 Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  In a bucket all members are
 compared with its ``LEADERS`` most central ones, the members whose buckets hold the most texts, so small
-buckets are compared whole; the members that stay apart from all of them choose new ones in the next round,
-until a round finds nothing new in the bucket or has compared all.  A round costs comparisons in proportion to the members still apart.  Every link is
-verified by the exact weighted Jaccard similarity of the whole texts.
+buckets are compared whole; the members of crowded ones that stay apart from all of them choose new ones in the next
+of ``ROUNDS`` rounds.  That joins most of a family at a cost in proportion to its members.  What such rounds leave
+in a crowded bucket is finished exactly: two texts can reach the similarity only if their prefixes, the rarest
+shingles up to a share of the weight, meet, and all pairs whose prefixes meet are compared, but for those already
+in one class.  Every link is verified by the exact weighted Jaccard similarity of the whole texts.
 
 Defined results: a null text is empty; texts without words are alike only if equal; repeated rows
 and equal texts share a class; an empty table gives an empty result; other columns are not read.
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import byte_rows, components, mixed, shingles, stage, text_key
 
 BANDS, ROWS, SIMILARITY, LEADERS, FILTER_BITS = 14, 4, 0.8, 6, 24
+#: Rounds of leaders before the exact finish, and the bits of the table that orders shingles by rarity there.
+ROUNDS, RARITY_BITS = 2, 22
 #: Document frequencies are counted by hashed feature, as Spark ML's HashingTF does, with its number of features.
 FEATURE_BITS = 18
 #: Share of the documents from which on a shingle loses weight.
@@ -92,23 +96,28 @@ class Sampler:
         return float(both / either) if either else 0.0
 
 
-def fit_sampler(texts: DataFrame) -> Sampler:
-    """Count, over all rows of ``text``, the documents of every hashed feature."""
+def _frequencies(texts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
+    """Over all rows of ``text``: the documents of every hashed feature, and the number of rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(1 << FEATURE_BITS, np.int64), 0
+        seen, rows = np.zeros(1 << bits, np.int64), 0
         for batch in batches:
             for data in byte_rows(batch.column(0)):
-                seen[np.unique((shingles(data) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64))] += 1
+                seen[np.unique((shingles(data) >> np.uint64(64 - bits)).astype(np.int64))] += 1
                 rows += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], rows))], ["feature", "n"])
 
     sums = (texts.select("text").mapInArrow(count, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).toArrow())
     feature, n = sums["feature"].to_numpy(), sums["n"].to_numpy()
-    frequencies = np.zeros(1 << FEATURE_BITS, np.int64)
+    frequencies = np.zeros(1 << bits, np.int64)
     frequencies[feature[feature >= 0]] = n[feature >= 0]
-    return Sampler(frequencies, int(n[feature < 0].sum()))
+    return frequencies, int(n[feature < 0].sum())
+
+
+def fit_sampler(texts: DataFrame) -> Sampler:
+    """The sampler for the document frequencies of all rows of ``text``."""
+    return Sampler(*_frequencies(texts, FEATURE_BITS))
 
 
 def _texts_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -152,6 +161,48 @@ def _verified(pairs: DataFrame, texts: DataFrame, sampler, similarity: float) ->
     return both.select("u", "v", "a", "b").mapInArrow(compare, "u binary, v binary")
 
 
+def _prefix_pairs(crowd: DataFrame, texts: DataFrame, sampler, similarity: float) -> DataFrame:
+    """All pairs (u, v) of ``crowd`` (key, root) of different roots that can reach the similarity.
+
+    With the shingles of all texts in one order, from rare to common, what two texts share lies from their first
+    common shingle on in both.  So it weighs at most as much as the lighter of the two rests that start there, and a pair
+    is possible only if that rest is as heavy as the similarity asks.  The order by rarity only saves pairs; any order is exact.
+    """
+    held = stage(texts.join(crowd, "key").select("key", "root", "text"), "near-crowd")
+    frequencies, _ = _frequencies(held, RARITY_BITS)
+    rarity = crowd.sparkSession.sparkContext.broadcast(frequencies.astype(np.int32))
+    least = similarity * (1 - 1e-6)  # weights are float32
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, shingle, whole, rest = [], [], [], []
+            for row, data in enumerate(byte_rows(batch.column(2))):
+                ids, weights = sampler.value.weights(data)
+                order = np.lexsort((ids, rarity.value[(ids >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))
+                rests = np.cumsum(weights[order[::-1]].astype(float))[::-1]
+                n = int((rests >= least * rests[0]).sum()) if len(rests) else 0
+                at.append(np.full(n, row))
+                shingle.append(ids[order[:n]].view(np.int64))
+                whole.append(np.full(n, rests[0] if n else 0.0))
+                rest.append(rests[:n])
+            if at:
+                places = pa.array(np.concatenate(at))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(places), batch.column(1).take(places), *[pa.array(np.concatenate(x)) for x in (shingle, whole, rest)]],
+                                                 ["key", "root", "shingle", "whole", "rest"])
+
+    entries = held.select("key", "root", "text").mapInArrow(prefixes, "key binary, root binary, shingle bigint, whole double, rest double")
+    entries = stage(entries, "near-prefixes")
+    # texts of the largest class of a shingle need no comparison among themselves, so only the others look for partners
+    per_root = entries.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed_up = stage(per_root.groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("shingle", F.col("top.root").alias("main")), "near-mixed")
+    seen = stage(entries.join(mixed_up, "shingle"), "near-seen")
+    lone = seen.where("root <> main").select("shingle", F.col("key").alias("u"), F.col("root").alias("ru"), F.col("whole").alias("wu"), F.col("rest").alias("su"))
+    others = seen.select("shingle", F.col("key").alias("v"), F.col("root").alias("rv"), F.col("whole").alias("wv"), F.col("rest").alias("sv"))
+    enough = F.least("su", "sv") >= (F.col("wu") + F.col("wv")) * F.lit(least / (1 + least))
+    met = lone.join(others, "shingle").where((F.col("ru") != F.col("rv")) & enough)
+    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(key, root) of every text that is linked to another one; ``key`` is ``text_key`` of the text.
 
@@ -177,7 +228,7 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
 
     links = None
     most_central = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
-    while True:
+    for _ in range(ROUNDS):
         leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= LEADERS)
         led = stage(members.select("bucket", "key").join(leaders.select("bucket", F.col("key").alias("leader")), "bucket").where("key <> leader"), "near-led")
         pairs = led.select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v")).distinct()
@@ -185,12 +236,21 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
         links = found if links is None else links.unionByName(found)
         # what a crowded bucket has left: members that neither lead nor follow a leader of theirs
         near = found.select(F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("v").alias("leader")), F.struct(F.col("v").alias("key"), F.col("u").alias("leader")))).alias("x")).select("x.*")
-        linked = stage(led.join(near, ["key", "leader"], "left_semi").select("bucket", "key").distinct(), "near-linked")
+        linked = led.join(near, ["key", "leader"], "left_semi").select("bucket", "key")
         done = linked.unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
-        members = members.join(linked.select("bucket").distinct(), "bucket", "left_semi").join(done, ["bucket", "key"], "left_anti")
+        members = members.join(done, ["bucket", "key"], "left_anti")
         members = stage(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("open")).where("open > 1").select("bucket"), "bucket", "left_semi"), "near-members")
         if not found.limit(1).count() or not members.limit(1).count():
-            return components(links, "near").select(F.col("node").alias("key"), "root")
+            break
+    classes = components(links, "near").select(F.col("node").alias("key"), "root")
+    # members still open in a bucket: a link between these may be unseen
+    crowded = members.select("bucket", "key").join(classes, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    split = crowded.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
+    crowd = stage(crowded.join(split, "bucket", "left_semi").select("key", "root").distinct(), "near-open")
+    if not crowd.limit(1).count():
+        return classes
+    last = stage(_verified(_prefix_pairs(crowd, held, sampler, similarity), held, sampler, similarity), "near-links")
+    return components(links.unionByName(last), "near").select(F.col("node").alias("key"), "root") if last.limit(1).count() else classes
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

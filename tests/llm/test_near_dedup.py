@@ -67,6 +67,28 @@ def test_classes_match_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {r.class_id for r in rows}
 
 
+def crowd_of(count, own, planted, shared=3, words=200):
+    """Texts on one template of which each ends in ``own`` words of its own; the last ``planted`` pairs share some of these."""
+    template = " ".join(f"t{i}" for i in range(words))
+    rows = [(i, template + " " + " ".join(f"o{i}x{k}" for k in range(own))) for i in range(count)]
+    for p in range(planted):
+        twin = " ".join(f"p{p}x{k}" for k in range(shared))
+        rows += [(count + 2 * p + side, f"{template} {twin} " + " ".join(f"q{p}y{side}x{k}" for k in range(own - shared))) for side in (0, 1)]
+    return rows
+
+
+def test_planted_pairs_in_a_crowd_just_below_the_similarity(spark):
+    rows = crowd_of(3000, 15, 40)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    sampler = minhash.fit_sampler(docs)
+    weights = [sampler.weights(bytes_of(text)) for _, text in rows]
+    assert 0.76 < sampler.similarity(weights[0], weights[1]) < 0.8 < sampler.similarity(weights[3000], weights[3001]) < 0.84
+    shares = [set(sampler.bands(bytes_of(rows[3000 + 2 * p][1]))) & set(sampler.bands(bytes_of(rows[3001 + 2 * p][1]))) for p in range(40)]
+    assert all(shares)
+    of = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert of == {i: i if i < 3000 else i - (i - 3000) % 2 for i, _ in rows}
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     rows = [(r.doc_id, r.class_id, r.class_rows, r.class_texts) for r in minhash.near_duplicates(docs).collect()]
