@@ -226,7 +226,7 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     members = stage(shared.join(central, "key"), "near-members")
     held = stage(_texts_of(texts, members.select("key").distinct()), "near-texts")
 
-    links = None
+    links, crowded = None, members.where(F.col("size") > LEADERS + 1).select("bucket", "key")
     most_central = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
     for _ in range(ROUNDS):
         leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= LEADERS)
@@ -243,8 +243,8 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
         if not found.limit(1).count() or not members.limit(1).count():
             break
     classes = components(links, "near").select(F.col("node").alias("key"), "root")
-    # members still open in a bucket: a link between these may be unseen
-    crowded = members.select("bucket", "key").join(classes, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # crowded buckets of more than one class: a link between these may be unseen
+    crowded = crowded.join(classes, "key", "left").withColumn("root", F.coalesce("root", "key"))
     split = crowded.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
     crowd = stage(crowded.join(split, "bucket", "left_semi").select("key", "root").distinct(), "near-open")
     if not crowd.limit(1).count():

@@ -89,6 +89,23 @@ def test_planted_pairs_in_a_crowd_just_below_the_similarity(spark):
     assert of == {i: i if i < 3000 else i - (i - 3000) % 2 for i, _ in rows}
 
 
+def test_families_that_drift_stay_together(spark):
+    rows = []
+    for f in range(60):
+        base = [f"f{f}w{i}" for i in range(200)]
+        rows += [(len(rows) + k, " ".join(base[:-1] + [f"f{f}e{k}"])) for k in range(10)]
+        once = base[:-15] + [f"f{f}m{i}" for i in range(15)]
+        rows += [(len(rows), " ".join(once)), (len(rows) + 1, " ".join([f"f{f}n{i}" for i in range(15)] + once[15:]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    sampler = minhash.fit_sampler(docs)
+    weights, bands = [sampler.weights(bytes_of(t)) for _, t in rows], [set(sampler.bands(bytes_of(t))) for _, t in rows]
+    assert all(sampler.similarity(weights[i], weights[j]) >= minhash.SIMILARITY for i, j in ((0, 10), (10, 11))) and sampler.similarity(weights[0], weights[11]) < minhash.SIMILARITY
+    together = {f for f in range(60) if bands[12 * f + 10] & bands[12 * f + 11] and bands[12 * f + 10] & bands[12 * f]}
+    assert len(together) > 50
+    of = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert [f for f in together if of[12 * f + 11] != 12 * f or of[12 * f + 10] != 12 * f] == []
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     rows = [(r.doc_id, r.class_id, r.class_rows, r.class_texts) for r in minhash.near_duplicates(docs).collect()]
