@@ -5,7 +5,8 @@ before and after them, together with the shape of the text between, are lexical
 are stretches that look like an identifier but that no base pattern takes.  Seeds and candidates alike
 are instances; instances with the same words around the same shape are one node of a graph between
 patterns and instances.  Spark scores it round by round: a pattern is trusted for a kind by the share of
-that kind among its known instances, if it has at least ``SUPPORT`` of them; an instance is found when the
+that kind among its known instances, if it has at least ``SUPPORT`` of them.  Apart from the shape, it is trusted by the
+share among known and unknown instances alike, so words can vouch for a form not seen yet; an instance is found when the
 patterns that hold it leave little doubt (noisy or); what is found counts as known in the next round.
 Rounds end when one finds nothing.
 
@@ -173,7 +174,15 @@ def found_nodes(seen: DataFrame, support: int = SUPPORT, trust: float = TRUST) -
         # of each pattern the best kind and its share of what is known there
         best = (by_kind.groupBy("p", "shape").agg(F.max(F.struct("n", (-F.col("kind")).alias("minus"))).alias("top"), F.sum("n").alias("known"))
                 .where(F.col("known") >= support).select("p", "shape", (-F.col("top.minus")).alias("kind"), (F.col("top.n") / (F.col("known") + 0.1)).alias("share")))
-        votes = open_.select(*node, patterns.alias("p")).join(best, ["p", "shape"]).groupBy(*node, "kind").agg((1 - F.exp(F.sum(F.log(1.000001 - F.col("share"))))).alias("score"))
+        asked = open_.select(*node, "n", patterns.alias("p"))
+        # the same apart from the shape, where all that is still unknown there counts against the pattern
+        unknown = asked.groupBy("p").agg(F.sum("n").alias("unknown"))
+        wide = (by_kind.groupBy("p", "kind").agg(F.sum("n").alias("n")).groupBy("p").agg(F.max(F.struct("n", (-F.col("kind")).alias("minus"))).alias("top"), F.sum("n").alias("known"))
+                .where(F.col("known") >= support).join(unknown, "p")
+                .select("p", (-F.col("top.minus")).alias("kind"), (F.col("top.n") / (F.col("known") + F.col("unknown") + 0.1)).alias("share")))
+        likely = (F.col("kind") == KINDS.index("email")) == F.col("shape").contains("@")
+        voices = asked.join(best, ["p", "shape"]).select(*node, "p", "kind", "share").unionByName(asked.join(wide, "p").where(likely).select(*node, "p", "kind", "share"))
+        votes = voices.groupBy(*node, "p", "kind").agg(F.max("share").alias("share")).groupBy(*node, "kind").agg((1 - F.exp(F.sum(F.log(1.000001 - F.col("share"))))).alias("score"))
         top = votes.groupBy(*node).agg(F.max(F.struct("score", (-F.col("kind")).alias("minus"))).alias("top")).where(F.col("top.score") >= trust)
         new = stage(top.select(*node, (-F.col("top.minus")).alias("kind")), "pii-found")
         all_found = new if all_found is None else all_found.unionByName(new)

@@ -59,6 +59,13 @@ def test_contexts_find_what_the_patterns_miss(spark):
     assert out[101].spans == "" and out[102].spans == ""
 
 
+def test_contexts_bring_new_shapes(spark):
+    rows = [(i, f"Please dial +1 (212) 555-{1000 + i} now, w{i}") for i in range(40)] + [(100 + i, f"write mail ann{i}@host.org soon, w{i}") for i in range(40)]
+    rows += [(200, "Please dial 555-123-4567 now, x"), (201, "write mail user@localhost soon, x"), (202, "the part 555-123-4567 fits, x")]
+    out = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out[200].spans == "phone:12:24" and out[201].spans == "email:11:25" and out[202].spans == ""
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     rows = pii.personal_data(docs).collect()
