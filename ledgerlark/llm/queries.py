@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import bpe, fingerprints, html, layouts, lines, minhash, mixing, pii, quality, urls, vectors
+from . import bpe, fingerprints, html, layouts, lines, minhash, mixing, pieces, pii, quality, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_near_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_texts(read_table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
