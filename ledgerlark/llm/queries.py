@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import bpe, fingerprints, html, layouts, lines, minhash, mixing, pieces, pii, quality, urls, vectors
+from . import bpe, divergence, fingerprints, html, layouts, lines, minhash, mixing, pieces, pii, quality, ranking, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_sentencepiece")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_texts(read_table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op12_source_divergence", divergence.AUDIT_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read_table(spark, folder, "documents"))
+
+
+@query("op13_ranked_search", ranking.RANKING_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.ranked(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
