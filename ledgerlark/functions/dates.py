@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,10 +33,19 @@ _SHEET_TIME = (r"^\s*(?:(\d{1,2})[-/](\d{1,2})[-/](\d{4}|\d{2})(?:[.\s]\s*(\d{1,
                r"|(\d{2})(\d{2})(\d{4})[.\s]?\s*(\d{2})\s+(\d{2})\s+(\d{2}))\s*$")
 
 
-def _fields(text: Column, pattern: str, *groups: str) -> list[Column]:
-    """The named groups of a text that has the pattern, each null where it is empty; all null otherwise."""
-    found = F.when(text.rlike(pattern), F.split(F.regexp_replace(text, pattern, "|".join(groups)), r"\|"))
-    return [F.nullif(F.get(found, F.lit(n)), F.lit("")) for n in range(len(groups))]
+_FOUND = "\u0001"
+
+
+def _with_fields(text: Column, pattern: str, groups: list[str], body: Callable[..., Column]) -> Column:
+    """``body`` of the named groups of a text that has the pattern, each null where it is empty; null otherwise.
+
+    The pattern holds for the whole text, so one replacement both tells whether it does and takes the text apart;
+    ``body`` is applied to the one array this makes, however often it names a group.
+    """
+    parted = F.regexp_replace(text, pattern, "|".join([_FOUND, *groups]))
+    found = F.when(parted.startswith(_FOUND) & ~text.startswith(_FOUND), F.split(parted, r"\|"))
+    bound = F.transform(F.array(found), lambda fields: body(*[F.nullif(F.get(fields, F.lit(n + 1)), F.lit("")) for n in range(len(groups))]))
+    return F.get(bound, F.lit(0))
 
 
 def _full_year(year: Column) -> Column:
@@ -45,9 +55,11 @@ def _full_year(year: Column) -> Column:
 
 def spanish_date(col: Column) -> Column:
     """DATE from Spanish prose, d/m/y with two- or four-digit year, or ISO text."""
-    day, month, year = _fields(F.upper(strip_marks(col)), _WRITTEN_DATE, "$1$4$9", "$2$5$8", "$3$6$7")
-    named = F.try_element_at(F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair]), month)
-    return date_from_parts(_full_year(year), F.when(month.rlike("^[A-Z]"), named).otherwise(month.try_cast("int")), day)
+    def made(day: Column, month: Column, year: Column) -> Column:
+        named = F.try_element_at(F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair]), month)
+        return date_from_parts(_full_year(year), F.when(month.rlike("^[A-Z]"), named).otherwise(month.try_cast("int")), day)
+
+    return _with_fields(F.upper(strip_marks(col)), _WRITTEN_DATE, ["$1$4$9", "$2$5$8", "$3$6$7"], made)
 
 
 def date_parts(col: Column, prefix: str = "") -> list[Column]:
@@ -82,10 +94,13 @@ def _date(col: Column, pattern: str) -> Column:
 def mixed_timestamp(col: Column) -> Column:
     """Local wall time from the formats seen on authorisation sheets."""
     text = F.translate(F.regexp_replace(col, f"(?i){TIMESTAMP_NOISE}", ""), '"', " ")
-    day, month, year, hour, minute, second = _fields(text, _SHEET_TIME, "$1$7", "$2$8", "$3$9", "$4$10", "$5$11", "$6$12")
-    hour, minute, second = (F.coalesce(part.cast("int"), F.lit(0)) for part in (hour, minute, second))
-    at = date_from_parts(_full_year(year), month, day).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute, second)
-    return F.when((hour < 24) & (minute < 60) & (second < 60), at)
+
+    def made(day: Column, month: Column, year: Column, *clock: Column) -> Column:
+        hour, minute, second = (F.coalesce(part.cast("int"), F.lit(0)) for part in clock)
+        at = date_from_parts(_full_year(year), month, day).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute, second)
+        return F.when((hour < 24) & (minute < 60) & (second < 60), at)
+
+    return _with_fields(text, _SHEET_TIME, ["$1$7", "$2$8", "$3$9", "$4$10", "$5$11", "$6$12"], made)
 
 
 def ddmmyyyy_hhmm(col: Column) -> Column:

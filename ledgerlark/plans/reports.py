@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money
@@ -126,15 +126,21 @@ def daily_summary(report: DataFrame, period: str, config: AuditConfig, by_networ
     missing = F.col("red").isNull() | (F.col("red") == config.network) if alias_network else F.col("red").isNull()
     keys = ["num_factura", "num_siniestro"]
     observed = F.col("estado_alerta_IA") == "OBSERVADA"
-    rows = report.where(F.col("fecha_proceso") == period)
+    # the potential of an invoice counts its rows of every period, so one aggregation keeps both apart
+    inside = F.col("fecha_proceso") == period
     if savings_only:
-        rows = rows.where(F.col("flag_reglas_ahorro") == 1)
-    per_invoice = rows.groupBy(
-        F.col("fecha_proceso").alias("processed_date"), F.when(missing, own).otherwise(F.col("red")).alias("red"), *keys, "proveedor", "sede").agg(
-        F.max(F.when(observed, F.col("num_factura"))).alias("seen"), F.max(F.when(observed, F.col("monto_factura"))).alias("seen_amount"),
-        F.max("monto_factura").alias("amount"))
-    potential = (report.where(F.col("flag_reglas_ahorro") == 1).groupBy(*keys).agg(F.max("monto_factura").alias("monto_potencial")))
-    joined = per_invoice.join(potential, keys, "left")
+        inside = inside & (F.col("flag_reglas_ahorro") == 1)
+    rows = report.where(inside | (F.col("flag_reglas_ahorro") == 1))
+    amount = F.col("monto_factura")
+    per_group = rows.groupBy(
+        *keys, F.when(inside, F.col("fecha_proceso")).alias("processed_date"), F.when(inside, F.when(missing, own).otherwise(F.col("red"))).alias("red"),
+        F.when(inside, F.col("proveedor")).alias("proveedor"), F.when(inside, F.col("sede")).alias("sede"), F.coalesce(inside, F.lit(False)).alias("inside")).agg(
+        F.max(F.when(observed, F.col("num_factura"))).alias("seen"), F.max(F.when(observed, amount)).alias("seen_amount"), F.max(amount).alias("amount"),
+        F.max(F.when(F.col("flag_reglas_ahorro") == 1, amount)).alias("potential"))
+    # rows without a full key have no potential and are spread
+    full = F.col("num_factura").isNotNull() & F.col("num_siniestro").isNotNull()
+    of_invoice = Window.partitionBy(*keys, F.when(~full, F.xxhash64("num_factura", "num_siniestro", "proveedor", "sede", "red")))
+    joined = per_group.withColumn("monto_potencial", F.when(full, F.max("potential").over(of_invoice))).where("inside")
     group = ["processed_date", "red"] if by_network else ["processed_date"]
     return joined.groupBy(*group).agg(*summary_measures())
 

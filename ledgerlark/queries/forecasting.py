@@ -201,41 +201,86 @@ def _(t):
     return parts.where(F.col("part").isNotNull()).groupBy("fold", "part").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _training_frame(t: Tables) -> DataFrame:
-    df = ts.cyclic_encoding(ts.time_parts(filled_readings(t), TIME), TIME)
-    df = ts.one_hot(df.withColumn("station", F.col(STATION)), STATION, KINDS)
-    return df.select(TIME, "station", *VARIABLES, *_CYCLES, *[f"LABEL_{STATION}_{k}" for k in KINDS])
+_TRAINED: dict[tuple[str, str], tuple[str, model.Trained]] = {}
+VERSION = "1_0_0"
 
 
-_SMALL_MODEL = model.TreeParameters(trees=4, depth=3)
+def _trained(t: Tables) -> tuple[str, model.Trained]:
+    """The model of the whole training frame with the default parameters and folds, saved; one session trains it once for all queries."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _TRAINED:
+        _, features, target = _sources(t)
+        df = ts.with_folds(model.training_frame(features, target, KINDS), TIME, ["station"])
+        result = model.train(df, model.feature_columns(df, [model.TARGET], ["station", "position", "n_rows"]), model.TARGET)
+        path = shared_folder(t.spark, "artifacts")
+        model.save(t.spark, result.model, path, VERSION)
+        _TRAINED[key] = path, result
+    return _TRAINED[key]
 
 
-@query("m9_boosted_trees")
+_FULL = f"full AS (SELECT *, row_number() OVER (ORDER BY {TIME}, STATION_ID) - 1 AS place, count(*) OVER () AS n FROM (SELECT *, lag(VELO, 24) OVER (PARTITION BY STATION_ID ORDER BY {TIME}) AS earlier FROM hourly) WHERE earlier IS NOT NULL)"
+_TESTED = f"tested AS (SELECT fold + 1 AS fold, STATION_ID, {TIME}, N_PM25 FROM full, (SELECT unnest(range(10))::INTEGER AS fold) WHERE place >= n - (10 - fold) * (n // 11) AND place < n - (9 - fold) * (n // 11))"
+
+
+@query("m9_boosted_trees", f"WITH {HOURLY}, {_FULL}, {_TESTED} SELECT fold, STATION_ID AS station, {TIME}, {sql_r6('N_PM25')} AS N_PM25, TRUE AS predicted FROM tested")
+def _(t):
+    rows = _trained(t)[1].predictions
+    predicted = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return rows.select("fold", "station", TIME, r6("N_PM25").alias("N_PM25"), predicted.alias("predicted"))
+
+
+@query("m9_fold_predictions")
 def _(t):
-    df = _training_frame(t)
-    fitted = model.fit(df, model.feature_columns(df, ["N_PM25"], [TIME, "station"]), "N_PM25", _SMALL_MODEL)
-    return fitted.transform(df).select("station", TIME, "N_PM25", "prediction")
+    return _trained(t)[1].predictions.select("fold", "station", TIME, "N_PM25", "prediction")
 
 
 @query("m11_importances")
 def _(t):
-    df = _training_frame(t)
-    fitted = model.fit(df, model.feature_columns(df, ["N_PM25"], [TIME, "station"]), "N_PM25", _SMALL_MODEL)
-    return model.importances(t.spark, fitted)
+    return model.importances(t.spark, _trained(t)[1].model)
+
+
+@query("m11_importance_facts", "SELECT 20::BIGINT AS features, TRUE AS descending, TRUE AS shares")
+def _(t):
+    top = model.importances(t.spark, _trained(t)[1].model)
+    listed = top.agg(F.count_distinct("feature").alias("features"), F.sort_array(F.collect_list("importance"), False).alias("sorted"), F.sum("importance").alias("sum"))
+    ordered = F.forall(F.transform("sorted", lambda x, i: x >= F.coalesce(F.get("sorted", i + 1), F.lit(0.0))), lambda x: x)
+    return listed.select("features", ordered.alias("descending"), ((F.col("sum") > 0.3) & (F.col("sum") <= 1 + 1e-9)).alias("shares"))
+
+
+def _scored(t: Tables) -> DataFrame:
+    """The scoring frame of every complete hour through the saved model."""
+    readings, features, target = _sources(t)
+    frame = model.scoring_frame(ts.spine_of(readings, TIME, STATION), features, target, KINDS).na.drop()
+    return model.score(frame, _trained(t)[0], VERSION)
 
 
 @query("m12_batch_score")
 def _(t):
-    df = _training_frame(t)
-    path = shared_folder(t.spark, "model")
-    model.save(model.fit(df, model.feature_columns(df, ["N_PM25"], [TIME, "station"]), "N_PM25", _SMALL_MODEL), path, "1_0_0")
-    return model.score(df, path, "1_0_0", TIME, "station")
+    return _scored(t)
+
+
+@query("m12_scored_rows", f"WITH {HOURLY}, {SPINE} SELECT STATION_ID, {TIME}, TRUE AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY STATION_ID ORDER BY {TIME}) AS place FROM spine) WHERE place > 24")
+def _(t):
+    return _scored(t).select(STATION, TIME, (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"))
 
 
 @query("s10_saved_metrics")
 def _(t):
-    df = ts.with_folds(_training_frame(t), TIME, ["station"], splits=2)
-    columns = model.feature_columns(df, ["N_PM25"], [TIME, "station", "position", "n_rows"])
-    result = model.train(df, columns, "N_PM25", _SMALL_MODEL, splits=2)
-    folder = io.save_metrics(t.spark, result.metrics, shared_folder(t.spark, "artifacts"), "1_0_0")
-    return t.spark.read.json(folder)
+    path, result = _trained(t)
+    return t.spark.read.json(io.save_metrics(t.spark, result.metrics, path, VERSION))
+
+
+@query("s10_metric_facts", f"""WITH {HOURLY}, {_FULL}, {_TESTED}
+SELECT fold, count(*) AS rows, {sql_r6('avg(N_PM25)')} AS mean, TRUE AS rmse_agrees, TRUE AS mae_agrees, TRUE AS r2_agrees FROM tested GROUP BY fold""")
+def _(t):
+    """Saved metrics against sums over the stored predictions."""
+    path, result = _trained(t)
+    saved = t.spark.read.json(io.save_metrics(t.spark, result.metrics, path, VERSION))
+    error, y = F.col("N_PM25") - F.col("prediction"), F.col("N_PM25")
+    sums = result.predictions.groupBy(F.col("fold").cast("bigint").alias("fold")).agg(
+        F.count(F.lit(1)).alias("rows"), r6(F.avg(y)).alias("mean"), F.sum(error * error).alias("sse"), F.sum(F.abs(error)).alias("sae"), F.sum(y * y).alias("syy"), F.sum(y).alias("sy"))
+    near = lambda a, b: F.abs(a - b) <= 1e-6 * (1 + F.abs(b))
+    n = F.col("rows")
+    return sums.join(saved, "fold").select(
+        F.col("fold").cast("int").alias("fold"), "rows", "mean", near(F.col("rmse"), F.sqrt(F.col("sse") / n)).alias("rmse_agrees"),
+        near(F.col("mae"), F.col("sae") / n).alias("mae_agrees"), near(F.col("r2"), 1 - F.col("sse") / (F.col("syy") - F.col("sy") * F.col("sy") / n)).alias("r2_agrees"))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import money
 from ..functions.dates import default_period_column, floor_to, instant
 from ..functions.text import label_map
+from ..operators.boosting import BoostedModel
 from ..operators.nested import conform
+from ..plans import forecast
 from .registry import query, r6, sql_r6
 
 
@@ -116,11 +116,10 @@ def _(t):
 
 @query("p14_model_column_order", f"SELECT event_id, {sql_r6('value')} AS f0, hour(ts)::DOUBLE AS f1, user_id::DOUBLE AS f2 FROM events")
 def _(t):
-    trained = ["value", "hour", "user_id"]
-    df = t.events.select("event_id", "user_id", F.hour("ts").alias("hour"), "value")
-    assembled = VectorAssembler(inputCols=trained, outputCol="features").transform(df)
-    parts = assembled.select("event_id", vector_to_array("features").alias("f"))
-    return parts.select("event_id", r6(F.col("f")[0]).alias("f0"), F.col("f")[1].alias("f1"), F.col("f")[2].alias("f2"))
+    trained = BoostedModel(["value", "hour", "user_id"], [])
+    df = t.events.select("event_id", F.col("user_id").cast("double").alias("user_id"), F.hour("ts").cast("double").alias("hour"), "value", F.lit("x").alias("extra"))
+    # by place, as a model without names reads them
+    return forecast.model_columns(df, trained, "event_id").toDF("event_id", "f0", "f1", "f2").withColumn("f0", r6("f0"))
 
 
 @query("p15_window_universe", """

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions.dates import floor_to, instant
 from ..operators.joins import literal_table, lookup_with_default
-from ..sources import chart_pages, feed, incremental, io
+from ..sources import chart_pages, feed, incremental, io, serving
 from .registry import Tables, query, r6, sql_r6
 
 FROM, TO = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
@@ -27,6 +29,16 @@ def _(t):
     return io.read_period(texts, "ts", instant(FROM), instant(TO), ["user_id", "value"], text_format=True)
 
 
+@query("s2_stored_period", """
+SELECT user_id, value, strptime(strftime(ts, '%d/%m/%Y%H:%M:'), '%d/%m/%Y%H:%M:') AS ts FROM events
+WHERE date_trunc('minute', ts) BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' AND value IS NOT NULL AND user_id IS NOT NULL""")
+def _(t):
+    path = incremental.shared_folder(t.spark, "readings")
+    texts = t.events.select("user_id", "value", F.date_format("ts", "dd/MM/yyyyHH:mm:").alias("ts"))
+    serving.write_by_day(texts, path, "ts", ["user_id"], text_format=True)
+    return serving.read_period(t.spark, path, "ts", dt.datetime.fromisoformat(FROM), dt.datetime.fromisoformat(TO), ["user_id", "value"])
+
+
 @query("s3_query_source", """
 SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
 WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-12-31' GROUP BY 1""")
@@ -200,8 +212,10 @@ def _(t):
 SELECT event_type, date_trunc('hour', ts) AS hour, {sql_r6('avg(value)')} AS value FROM events
 WHERE event_type = 'click' AND date_trunc('hour', ts) = TIMESTAMP '2024-01-10 05:00:00' GROUP BY 1, 2""")
 def _(t):
+    path = incremental.shared_folder(t.spark, "serving")
     hourly = t.events.groupBy("event_type", floor_to("hour", F.col("ts")).alias("hour")).agg(r6(F.avg("value")).alias("value"))
-    return io.serving_lookup(hourly, event_type="click", hour=instant("2024-01-10 05:00:00"))
+    serving.write_by_day(hourly, path, "hour", ["event_type"])
+    return serving.lookup(t.spark, path, "hour", dt.datetime(2024, 1, 10, 5), event_type="click")
 
 
 @query("s14_compare_window", f"""

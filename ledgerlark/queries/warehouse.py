@@ -191,21 +191,43 @@ def _(t):
     return claim_plans.letter_validity(requests, CONFIG).select("num_carta_garantia", "fec_aprobacion_carta", "fec_validez_carta", "flag_cg_anulada")
 
 
+@query("e7_letter_states", "SELECT DISTINCT o_custkey AS num_carta_garantia, 'r' || o_custkey % 3 AS num_documento_proveedor, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS flag_cg_anulada FROM orders WHERE o_orderkey % 8 <> 0")
+def _(t):
+    requests = t.orders.select(
+        F.expr(CLAIM["periodo"]).alias("periodo"), F.col(C).alias("num_carta_garantia"), F.concat(F.lit("r"), F.col(C) % 3).alias("num_documento_proveedor"),
+        F.when(F.col("o_orderstatus") == "F", "ANULADA").otherwise("OK").alias("des_est_carta_garantia_origen"))
+    return claim_plans.letter_states(requests, CONFIG)
+
+
+UNITS = {"id_origen": f"CASE WHEN {K} % 5 <> 0 THEN 'RS' ELSE 'AX' END", "id_persona": f"concat('M', {C})", "id_unidad_asegurable": f"CASE WHEN {K} % 7 = 0 THEN concat('X', {K}) ELSE concat('A', {C} % 3, '-', {K} % 2, '-', {K}) END",
+         "des_estado_origen_unidad_asegurable": f"CASE WHEN {K} % 3 = 0 THEN 'VIGENTE' ELSE 'BAJA' END", "fec_inicio_vigencia": f"CASE WHEN {K} % 11 <> 0 THEN CAST(o_orderdate AS DATE) END",
+         "fec_fin_vigencia": f"(CAST(o_orderdate AS DATE) + CAST({K} % 400 AS INT))"}
+
+
+@query("e8_policy_validity", f"""WITH {cte('u', UNITS)}, v AS (SELECT *, CASE WHEN id_unidad_asegurable LIKE '%-%' THEN split_part(id_unidad_asegurable, '-', 1) || '-' || split_part(id_unidad_asegurable, '-', 2) END AS id_poliza FROM u WHERE id_origen = 'RS')
+SELECT id_persona, id_poliza, fec_inicio_vigencia, fec_fin_vigencia FROM v QUALIFY row_number() OVER (PARTITION BY id_persona, id_poliza
+  ORDER BY CASE WHEN des_estado_origen_unidad_asegurable = 'VIGENTE' THEN 1 ELSE 2 END, fec_inicio_vigencia DESC NULLS LAST, fec_fin_vigencia DESC NULLS LAST, id_unidad_asegurable) = 1""")
+def _(t):
+    return claim_plans.policy_validity(view(t, UNITS))
+
+
 @query("e9_processed_claims", f"""WITH {CLAIM_SQL}, kept AS (SELECT *, replace(num_siniestro, 'N', '')::BIGINT AS k FROM claim WHERE {_IN_MONTH} AND tip_reclamo = 'C' AND id_estado_siniestro_origen IN ('4', '8', 'T', '5')),
 rows AS (SELECT kept.*, 'J' || ((k + i) % 3) AS dx, j FROM kept, (SELECT unnest([1, 2]) AS i), (SELECT unnest([1, 2]) AS j) WHERE k % 5 = 1 OR j = 1)
 SELECT DISTINCT {FACTURA} AS factura, replace(id_autorizacion, 'RS-', '') AS id_autorizacion, num_siniestro, dx AS num_diagnostico_origen, CASE WHEN id_estado_siniestro_origen = '5' THEN 2 END AS item_dev,
   CASE WHEN id_estado_siniestro_origen = '5' THEN 'motivo' END AS motivo, CASE WHEN id_estado_siniestro_origen = '5' THEN fec_hora_ocurrencia::DATE + 2 END AS fec_devolucion,
   CASE WHEN id_estado_siniestro_origen = '5' THEN CASE WHEN greatest(CASE WHEN (k + 2) % 2 = 0 THEN 382 ELSE 1 END, CASE WHEN j = 1 AND (k + 1) % 2 = 0 THEN 382 ELSE 1 END) = 382 THEN 'Rechazo_Definitivo' ELSE 'Rechazo_No_Definitivo' END END AS ind_devoluc,
-  CASE WHEN k % 100 % 2 = 0 THEN 'PAG' END AS est_cuenta_por_pagar FROM rows""")
+  CASE WHEN k % 100 % 2 = 0 THEN 'PAG' END AS est_cuenta_por_pagar, CASE WHEN k % 4 < 2 THEN 'P' || (k % 4) END AS cod_producto, CASE WHEN k % 3 = 0 THEN '2024-' || k END AS carta_garantia FROM rows""")
 def _(t):
-    spark = t.spark
     authorisations = t.orders.select(F.concat(F.lit("RS-A"), F.col(K)).alias("id_autorizacion"), F.col("o_orderdate").alias("fec_autorizacion"))
-    products = spark.createDataFrame([], "cod_producto_ax string, cod_producto string")
-    letters = spark.createDataFrame([], "id_siniestro string, anio_carta_garantia bigint, num_carta_garantia bigint")
+    # the products repeat, two of four are known, and a third of the claims has a letter
+    products = t.orders.where(f"{K} % 4 < 2").select(F.concat(F.lit("X"), F.col(K) % 4).alias("cod_producto_ax"), F.concat(F.lit("P"), F.col(K) % 4).alias("cod_producto"))
+    letters = t.orders.where(f"{K} % 3 = 0").select(F.expr(CLAIM["id_siniestro"]).alias("id_siniestro"), F.lit(2024).cast("bigint").alias("anio_carta_garantia"), F.col(K).cast("bigint").alias("num_carta_garantia"))
     pairs = t.orders.select((F.col(K) % 100).alias("a"), (F.col(K) % 10).alias("b")).distinct().where("a % 2 = 0")
     payables = pairs.select(F.concat_ws("-", "a", "b", F.lit("z")).alias("id_maestro_cuenta_por_pagar"), F.lit("PAG").alias("cod_est_pago"))
-    out = claim_plans.processed_claims(claims(t), authorisations, products, letters, payables, CONFIG)
-    return out.select("factura", "id_autorizacion", "num_siniestro", "num_diagnostico_origen", F.col("item_dev").cast("int").alias("item_dev"), "motivo", "fec_devolucion", "ind_devoluc", "est_cuenta_por_pagar")
+    settled = claims(t).withColumn("id_producto", F.concat(F.lit("AX-X"), F.substr("num_siniestro", F.lit(2)).cast("bigint") % 4))
+    out = claim_plans.processed_claims(settled, authorisations, products, letters, payables, CONFIG)
+    return out.select("factura", "id_autorizacion", "num_siniestro", "num_diagnostico_origen", F.col("item_dev").cast("int").alias("item_dev"), "motivo", "fec_devolucion", "ind_devoluc", "est_cuenta_por_pagar",
+                      "cod_producto", "carta_garantia")
 
 
 @query("e10_feed_universe", f"""WITH {CLAIM_SQL} SELECT DISTINCT {FACTURA} AS factura, num_documento_proveedor_siniestro AS ruc, l_linenumber AS attention FROM claim LEFT JOIN lineitem ON l_orderkey = replace(num_siniestro, 'N', '')::BIGINT
@@ -354,6 +376,29 @@ def _(t):
                       F.col("flag_alerta_rechazo").alias("clase"), "num_lote")
 
 
+_PROVIDERS = f"""prov AS (SELECT num_factura_documento_ocr AS num_factura, reglas_mensaje AS alerta, grupo AS red, max(monto_factura_ocr) AS monto, CASE WHEN reglas_mensaje = 'Factura con duplicidad de pago' THEN 1 ELSE 0 END AS ahorro
+  FROM (SELECT DISTINCT al.*, coalesce(tip_caso_especial, 'Flujo regular') AS tce FROM al LEFT JOIN sn ON num_factura_documento_ocr = factura AND al.num_siniestro = sn.num_siniestro WHERE reglas_mensaje <> 'La cantidad de siteds de CPM en la trama no coincide con RS')
+  WHERE tce = 'Flujo regular' AND estado <> 'OK' GROUP BY 1, 2, 3, 5)"""
+
+
+def _provider_report(t: Tables):
+    delivered = reports.delivery(view(t, ALERT).withColumn("num_lote", F.lit("7")), view(t, SNAP), None, "2024-01-01", group="grupo")
+    return reports.provider_report(delivered, F.lit(NOW))
+
+
+@query("b4_full_report", f"""{REPORT}, {_PROVIDERS}, both_reports AS (SELECT num_factura, alerta, est, monto, red FROM rep0 UNION ALL SELECT num_factura, alerta, 'OBSERVADA', monto, red FROM prov)
+SELECT * FROM both_reports WHERE NOT (est = 'OK' AND num_factura IN (SELECT num_factura FROM both_reports GROUP BY 1 HAVING count(*) > 1))""")
+def _(t):
+    out = reports.full_report(reports.report_rows(_delivered(t), "monto_factura_trama", F.lit(NOW)), _provider_report(t), CONFIG)
+    return out.select("num_factura", F.col("alerta_IA").alias("alerta"), F.col("estado_alerta_IA").alias("est"), F.col("monto_factura").alias("monto"), "red")
+
+
+@query("b5_provider_export_view", f"{REPORT}, {_PROVIDERS} SELECT DISTINCT num_factura, alerta, monto, CASE WHEN red = 'CENTRAL' THEN 'RED CENTRAL' ELSE red END AS red, ahorro AS flag_reglas_ahorro, '7' AS num_lote FROM prov")
+def _(t):
+    out = reports.provider_export_view(_provider_report(t), "2024-01-01", CONFIG)
+    return out.select("num_factura", F.col("alerta_IA").alias("alerta"), F.col("monto_factura").alias("monto"), "red", "flag_reglas_ahorro", F.col("num_lote").cast("string").alias("num_lote"))
+
+
 def _summary_sql(where: str, network: str, group: str, columns: str) -> str:
     return f"""{REPORT}, ini AS (SELECT '2024-01-01' AS processed_date, CASE WHEN {network} THEN 'RED CENTRAL' ELSE red END AS red, num_factura, num_siniestro, proveedor, sede, max(CASE WHEN est = 'OBSERVADA' THEN num_factura END) AS seen,
   max(CASE WHEN est = 'OBSERVADA' THEN monto END) AS seen_amount, max(monto) AS amount FROM rep WHERE {where} GROUP BY 1, 2, 3, 4, 5, 6),
@@ -410,7 +455,7 @@ def _(t):
         incremental.replace_period(df, path, periods)
     # a rerun of one period that finds nothing must leave nothing of it
     incremental.replace_period(df.where("false"), path, ["1-URGENT"])
-    return t.spark.read.parquet(path).groupBy(F.col("processed_date").cast("string").alias("processed_date")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(P), 2).alias("total"))
+    return incremental.read_committed(t.spark, path).groupBy("processed_date").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(P), 2).alias("total"))
 
 
 @query("i2_watermark_append", "SELECT o_orderstatus AS type, count(*) AS n FROM orders GROUP BY 1")

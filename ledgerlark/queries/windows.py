@@ -8,7 +8,8 @@ from ..functions.dates import floor_to
 from ..operators import dedup, joins
 from ..operators import timeseries as ts
 from ..operators.positions import running_max
-from ..sources import io
+from ..sources import io, serving
+from ..sources.incremental import shared_folder
 from .registry import query, r6, sql_r6
 
 
@@ -120,6 +121,13 @@ def _(t):
     return rows.select("o_orderkey", F.to_date("o_orderdate").alias("d"))
 
 
+@query("t4_stored_page", "SELECT o_orderkey, o_orderdate::DATE AS d FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 50 OFFSET 10000")
+def _(t):
+    path = shared_folder(t.spark, "listing")
+    serving.write_listing(t.orders.select("o_orderkey", "o_orderdate"), path, [F.desc("o_orderdate"), F.asc("o_orderkey")])
+    return serving.page(t.spark, path, number=201, size=50).select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+
+
 @query("t5_first_row", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1 ORDER BY 1 LIMIT 1")
 def _(t):
     return t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).orderBy("o_orderstatus").limit(1)

@@ -35,14 +35,14 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = gold.gold_stream(gold.read_traces(spark, str(tmp_path / "in"), 1), str(tmp_path / "gold"), str(tmp_path / "ckpt"), ["kpis", "tool_invocations"], available_now=True)
     stream.awaitTermination(120)
     expected = gold.kpis(spark.createDataFrame(first + second[1:], schemas.TRACE))
-    stored = spark.read.parquet(str(tmp_path / "gold" / "kpis")).select(*expected.columns)
-    key = lambda r: (r["descgrain"], str(r["tsbucket"]), r["codagent"])
+    root = str(tmp_path / "gold")
+    stored = gold.read_gold(spark, root, "kpis").select(*expected.columns)
     plain = lambda df: sorted([tuple(str(v) for v in r) for r in df.collect()])
     assert plain(stored) == plain(expected)
-    gone = gold.expire(spark, str(tmp_path / "gold"), dt.date(2024, 1, 1), ["kpis"])
-    assert len(gone) == 4 and all("2023-12-30" in g for g in gone)
-    left = spark.read.parquet(str(tmp_path / "gold" / "kpis"))
-    assert {str(r[0]) for r in left.select("dtbucket").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+    gone = gold.expire(spark, root, dt.date(2024, 1, 1))
+    # of each table: the day's cells by hour and by keys, and its rows of three grains
+    assert len(gone) == 10 and all("2023-12-30" in g for g in gone)
+    assert {str(r[0]) for r in gold.read_gold(spark, root, "kpis").select("dtbucket").distinct().collect()} == {"2024-01-01", "2024-01-02"}
 
 
 def test_recent_traces_keep_the_whole_window(spark):
