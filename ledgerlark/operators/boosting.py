@@ -89,17 +89,27 @@ def sums(codes: np.ndarray, node: np.ndarray, gradient: np.ndarray, nodes: int,
 
 
 def best_cuts(g: np.ndarray, n: np.ndarray, p: BoostParameters) -> list[tuple[int, int, float, float, int] | None]:
-    """Of each node the column, the last bin to the left, the gain, and the gradient and rows to the left; the first of equals; None without a gain."""
-    left_g, left_n = g.cumsum(2)[:, :, :-1], n.cumsum(2)[:, :, :-1]
-    all_g, all_n = g.sum(2)[:, :1, None], n.sum(2)[:, :1, None]
-    gain = score(left_g, left_n, p) + score(all_g - left_g, all_n - left_n, p) - score(all_g, all_n, p)
-    gain = np.where((left_n > 0) & (left_n < all_n), gain, -np.inf).reshape(len(g), -1)
-    if not gain.shape[1]:
-        return [None] * len(g)
-    best, out = gain.argmax(1), []
-    for k, at in enumerate(best.tolist()):
-        column, cut = divmod(at, left_g.shape[2])
-        out.append((column, cut, float(gain[k, at]), float(left_g[k, column, cut]), int(left_n[k, column, cut])) if gain[k, at] > _ANY_GAIN else None)
+    """Of each node the column, the last bin to the left, the gain, and the gradient and rows to the left; the first of equals; None without a gain.
+
+    Only bins with rows are tried: to cut after an empty one is to cut after the last one before it that has some.
+    """
+    nodes, width, bins = g.shape
+    all_g, all_n = g[:, 0].sum(1), n[:, 0].sum(1)
+    cells = np.flatnonzero(n)
+    left_n = n.cumsum(2).ravel()[cells]
+    node = cells // (width * bins)
+    inner = left_n < all_n[node]
+    cells, node, left_n = cells[inner], node[inner], left_n[inner]
+    left_g = g.cumsum(2).ravel()[cells]
+    gain = score(left_g, left_n, p) + score(all_g[node] - left_g, all_n[node] - left_n, p) - score(all_g, all_n, p)[node]
+    starts = np.searchsorted(node, np.arange(nodes + 1)).tolist()
+    out: list = [None] * nodes
+    for k in range(nodes):
+        if starts[k] < starts[k + 1]:
+            at = starts[k] + int(gain[starts[k]:starts[k + 1]].argmax())
+            if gain[at] > _ANY_GAIN:
+                column, cut = divmod(int(cells[at]) - k * width * bins, bins)
+                out[k] = column, cut, float(gain[at]), float(left_g[at]), int(left_n[at])
     return out
 
 
@@ -157,8 +167,10 @@ def grow(codes: np.ndarray, gradient: np.ndarray, columns: np.ndarray, p: BoostP
             if found:
                 column[k], cut[k] = found[:2]
                 tree.split(frontier[k], int(columns[found[0]]), *found[1:])
-                side[k] = len(following), len(following) + 1
-                following += [tree.left[frontier[k]], tree.right[frontier[k]]]
+                for right, child in enumerate((tree.left[frontier[k]], tree.right[frontier[k]])):
+                    if tree.n[child] > 1:  # a single row cannot be cut
+                        side[k, right] = len(following)
+                        following.append(child)
         place = side[place, (some[rows, column[place]] > cut[place]).astype(np.int64)]
         rows, place, frontier = rows[place >= 0], place[place >= 0], following
     tree.prune(p)
@@ -368,7 +380,7 @@ def _on_the_cluster(rows: DataFrame, fits: list[int], base: dict[int, float], wi
                     tree.g[0], tree.n[0] = c["all_g"], c["all_n"]
                 if c["feature"] >= 0:
                     tree.split(c["node"], int(columns[c["feature"]]), c["cut"], c["gain"], c["g"], c["n"])
-                    following[c["fit"]] += [tree.left[c["node"]], tree.right[c["node"]]]
+                    following[c["fit"]] += [child for child in (tree.left[c["node"]], tree.right[c["node"]]) if tree.n[child] > 1]
             frontier = following
         for f in fits:
             growing[f].prune(p)

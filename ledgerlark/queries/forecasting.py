@@ -210,7 +210,7 @@ def _trained(t: Tables) -> tuple[str, model.Trained]:
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _TRAINED:
         _, features, target = _sources(t)
-        df = ts.with_folds(model.training_frame(features, target, KINDS), TIME, ["station"])
+        df = ts.with_folds(written(model.training_frame(features, target, KINDS), "training-frame"), TIME, ["station"])
         result = model.train(df, model.feature_columns(df, [model.TARGET], ["station", "position", "n_rows"]), model.TARGET)
         path = shared_folder(t.spark, "artifacts")
         model.save(t.spark, result.model, path, VERSION)
@@ -250,7 +250,7 @@ def _(t):
 def _scored(t: Tables) -> DataFrame:
     """The scoring frame of every complete hour through the saved model."""
     readings, features, target = _sources(t)
-    frame = model.scoring_frame(ts.spine_of(readings, TIME, STATION), features, target, KINDS).na.drop()
+    frame = written(model.scoring_frame(ts.spine_of(readings, TIME, STATION), features, target, KINDS).na.drop(), "scoring-frame")
     return model.score(frame, _trained(t)[0], VERSION)
 
 
