@@ -11,7 +11,7 @@ Queries come in blocks of bounded size, and each block is matched against all do
    impacts.  That is less than both single ones wherever the best documents of the two differ.  Terms whose bound stays below the score
    of the k-th best document so far are not essential: documents that only they hold are skipped, and so is a chunk where
    all terms stay below.  The rest are scored from the essential lists on, and dropped as soon as the bound of what is still to come
-   cannot lift them to that score.  Scores to beat start from a first search of a few chunks and rise in each task from chunk to
+   cannot lift them to that score.  Scores to beat start from a first search of a few files of the index and rise in each task from chunk to
    chunk; a chunk's documents never leave their task, only a task's k best of each query do.
 
 Skipping changes no result: a document is left out only if ``k`` others score more.  All scores are integers, as the contract of the query says:
@@ -38,8 +38,8 @@ from .common import stage
 from .terms import LETTERS_AND_DIGITS, terms
 
 BEST = 50
-#: Documents and postings of a chunk, queries and bytes of different terms of a block, chunks of the first search.
-CHUNK, POSTINGS, QUERIES, TERM_BYTES, FIRST = 2048, 1 << 19, 4096, 8 << 20, 8
+#: Documents and postings of a chunk, queries and bytes of different terms of a block, files of the index that the first search reads.
+CHUNK, POSTINGS, QUERIES, TERM_BYTES, FIRST = 2048, 1 << 19, 4096, 8 << 20, 2
 _PLACES = pa.list_(pa.int32())
 _RAW = pa.schema([("documents", pa.int64()), ("words", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                   ("terms", _PLACES), ("sizes", _PLACES), ("places", _PLACES), ("tfs", _PLACES)])
@@ -296,7 +296,8 @@ def _search_block(docs: DataFrame, block: QueryBlock, k: int, chunk: int, first:
     holding = dict(zip(holding["terms"].to_pylist(), holding["n"].to_pylist()))
     scoring = Scoring(block, total["documents"] or 0, total["words"] or 0, holding)
     index = stage(pair_index(raw, scoring), "rank-index")
-    start = _ranked(_found(index.limit(first), block, scoring, k, {}), k).where(F.col("rank") == k).select("query", "score")
+    some = docs.sparkSession.read.schema(index.schema).parquet(*index.inputFiles()[:first])  # a file holds the chunks of one task
+    start = _ranked(_found(some, block, scoring, k, {}), k).where(F.col("rank") == k).select("query", "score")
     least = {r["query"]: r["score"] for r in start.collect()}  # one row per query of the block
     return _found(index, block, scoring, k, least)
 
