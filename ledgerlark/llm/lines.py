@@ -31,7 +31,7 @@ BLANK = " \t\x0b\f\r"
 
 
 def _generalised(token: Column) -> Column:
-    return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
+    return F.when(F.translate(token, "0123456789", "") != token, F.lit(FIELD)).otherwise(token)
 
 
 def _recurring(held: DataFrame, what: str, min_docs: int) -> DataFrame:
@@ -40,12 +40,18 @@ def _recurring(held: DataFrame, what: str, min_docs: int) -> DataFrame:
             .where(F.col("texts") >= min_docs).select(what))
 
 
+_BLANKS = f"[{BLANK}]+"
+
+
 def _lines(docs: DataFrame, leading: int, min_tokens: int) -> DataFrame:
+    """Lines with their leaf; for that tokens are counted and only the leading ones are cut off, the rest is left as it is."""
     text = F.coalesce("text", F.lit(""))
     lines = docs.select(text_key(text).alias("key"), F.length(text).alias("chars"), F.posexplode(F.split(text, "\n")).alias("position", "line"))
-    lines = lines.withColumn("tokens", F.split(F.btrim("line", F.lit(BLANK)), f"[{BLANK}]+")).where(F.size("tokens") >= min_tokens)
-    first = [_generalised(F.coalesce(F.get("tokens", F.lit(i)), F.lit(""))) for i in range(leading)]
-    return lines.select("key", "chars", "position", F.length("line").alias("width"), "tokens", F.xxhash64(F.size("tokens"), *first).alias("leaf"))
+    lines = lines.withColumns({"width": F.length("line"), "line": F.btrim("line", F.lit(BLANK))})
+    lines = lines.withColumn("n", F.greatest(F.lit(1), F.regexp_count("line", F.lit(f"[^{BLANK}]+")))).where(F.col("n") >= min_tokens)
+    head = F.split("line", _BLANKS, leading + 1)
+    first = [F.when(F.col("n") > i, _generalised(F.coalesce(F.get(head, F.lit(i)), F.lit("")))).otherwise("") for i in range(leading)]
+    return lines.select("key", "chars", "position", "width", "line", "n", F.xxhash64("n", *first).alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, leading: int = LEADING, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -54,7 +60,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, leading: int = LE
     leaves = stage(_recurring(lines, "leaf", min_docs), "line-leaves")
     lively = stage(lines.join(leaves, "leaf"), "line-lively")
 
-    cells = lively.select("key", "chars", "position", "width", "leaf", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
+    cells = lively.select("key", "chars", "position", "width", "leaf", "n", F.posexplode(F.split("line", _BLANKS)).alias("at", "token"))
     cells = cells.withColumn("token", _generalised(F.col("token"))).withColumn("cell", F.xxhash64("leaf", "at", "token"))
     constant = _recurring(cells.where(F.col("token") != FIELD), "cell", min_docs).withColumn("fixed", F.lit(1))
     # equal texts repeat every row of a line equally often: ``times``, the rows of its first token, divides that out
