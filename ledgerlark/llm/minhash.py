@@ -2,10 +2,10 @@
 
 A text is its bag of five-word shingles, each weighted by TF-IDF.  A sampled hash picks a shingle
 with the chance its weight gives it, the same for two texts with the chance of their weighted
-Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  In a bucket all members are
-compared with its ``LEADERS`` most central ones, the members whose buckets hold the most texts, so small
-buckets are compared whole; the members of crowded ones that stay apart from all of them choose new ones in the next
-of ``ROUNDS`` rounds.  That joins most of a family at a cost in proportion to its members.  What such rounds leave
+Jaccard similarity.  ``BANDS`` bands of ``ROWS`` hashes make the buckets.  Buckets of up to ``SMALL`` texts are compared
+whole.  A crowded bucket is compared with one leader at a time: first its most central member, the one whose buckets hold the most
+texts, then the most central one that no leader has drawn into its class.  After each of ``ROUNDS`` rounds the classes are put together,
+and members of one class are not compared again.  That joins most of a family at a cost in proportion to its members.  What such rounds leave
 in a crowded bucket is finished exactly: two texts can reach the similarity only if their prefixes, the rarest
 shingles up to a share of the weight, meet, and all pairs whose prefixes meet are compared, but for those already
 in one class.  Every link is verified by the exact weighted Jaccard similarity of the whole texts.
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import byte_rows, components, mixed, shingles, stage, text_key
 
-BANDS, ROWS, SIMILARITY, LEADERS, FILTER_BITS = 14, 4, 0.8, 6, 24
-#: Rounds of leaders before the exact finish, and the bits of the table that orders shingles by rarity there.
-ROUNDS, RARITY_BITS = 2, 22
+BANDS, ROWS, SIMILARITY, FILTER_BITS = 14, 4, 0.8, 24
+#: Texts of a bucket that is compared whole, rounds of leaders before the exact finish, and the bits of the table that orders shingles by rarity there.
+SMALL, ROUNDS, RARITY_BITS = 7, 3, 22
 #: Document frequencies are counted by hashed feature, as Spark ML's HashingTF does, with its number of features.
 FEATURE_BITS = 18
 #: Share of the documents from which on a shingle loses weight.
@@ -226,31 +226,55 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     members = stage(shared.join(central, "key"), "near-members")
     held = stage(_texts_of(texts, members.select("key").distinct()), "near-texts")
 
-    links, crowded = None, members.where(F.col("size") > LEADERS + 1).select("bucket", "key")
-    most_central = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
+    classes = stage(members.select("key", F.col("key").alias("root")).distinct(), "near-classes")
+    few, crowded = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL).select("bucket", "key", "mates")
+    # small buckets are compared whole, a crowded one with its most central member
+    pairs = few.select("bucket", F.col("key").alias("u")).join(few.select("bucket", F.col("key").alias("v")), "bucket").where("u < v").select("u", "v")
+    used = stage(_most_central(crowded), "near-leaders")
+    pairs = pairs.unionByName(_led(crowded.select("bucket", "key"), used)).distinct()
+    classes = _joined(classes, stage(_verified(pairs, held, sampler, similarity), "near-links"))
     for _ in range(ROUNDS):
-        leaders = members.withColumn("place", F.row_number().over(most_central)).where(F.col("place") <= LEADERS)
-        led = stage(members.select("bucket", "key").join(leaders.select("bucket", F.col("key").alias("leader")), "bucket").where("key <> leader"), "near-led")
-        pairs = led.select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v")).distinct()
-        found = stage(_verified(pairs, held, sampler, similarity), "near-links")
-        links = found if links is None else links.unionByName(found)
-        # what a crowded bucket has left: members that neither lead nor follow a leader of theirs
-        near = found.select(F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("v").alias("leader")), F.struct(F.col("v").alias("key"), F.col("u").alias("leader")))).alias("x")).select("x.*")
-        linked = led.join(near, ["key", "leader"], "left_semi").select("bucket", "key")
-        done = linked.unionByName(led.select("bucket", F.col("leader").alias("key"))).distinct()
-        members = members.join(done, ["bucket", "key"], "left_anti")
-        members = stage(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("open")).where("open > 1").select("bucket"), "bucket", "left_semi"), "near-members")
-        if not found.limit(1).count() or not members.limit(1).count():
+        open_ = stage(_of_several_classes(crowded, classes), "near-open")
+        # the next leader is the most central member that no earlier one has drawn into its class
+        taken = used.join(classes.withColumnRenamed("key", "leader"), "leader").select("bucket", "root").distinct()
+        leaders = stage(_most_central(open_.join(taken, ["bucket", "root"], "left_anti")), "near-leaders")
+        roots = classes.select(F.col("key").alias("leader"), F.col("root").alias("leader_root"))
+        met = open_.join(leaders.join(roots, "leader"), "bucket").where(F.col("root") != F.col("leader_root"))
+        found = stage(_verified(met.select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v")).distinct(), held, sampler, similarity), "near-links")
+        if not found.limit(1).count():
             break
-    classes = components(links, "near").select(F.col("node").alias("key"), "root")
-    # crowded buckets of more than one class: a link between these may be unseen
-    crowded = crowded.join(classes, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    split = crowded.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
-    crowd = stage(crowded.join(split, "bucket", "left_semi").select("key", "root").distinct(), "near-open")
+        classes, used = _joined(classes, found), stage(used.unionByName(leaders), "near-leaders")
+    # crowded buckets that still hold several classes: a link between these may be unseen
+    crowd = stage(_of_several_classes(crowded, classes).select("key", "root").distinct(), "near-open")
     if not crowd.limit(1).count():
         return classes
-    last = stage(_verified(_prefix_pairs(crowd, held, sampler, similarity), held, sampler, similarity), "near-links")
-    return components(links.unionByName(last), "near").select(F.col("node").alias("key"), "root") if last.limit(1).count() else classes
+    return _joined(classes, stage(_verified(_prefix_pairs(crowd, held, sampler, similarity), held, sampler, similarity), "near-links"))
+
+
+def _most_central(members: DataFrame) -> DataFrame:
+    """(bucket, leader): of each bucket the member whose buckets hold the most texts."""
+    order = Window.partitionBy("bucket").orderBy(F.desc("mates"), "key")
+    return members.withColumn("place", F.row_number().over(order)).where(F.col("place") == 1).select("bucket", F.col("key").alias("leader"))
+
+
+def _led(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Pairs (u, v) of members and the leader of their bucket."""
+    return members.join(leaders, "bucket").where("key <> leader").select(F.least("key", "leader").alias("u"), F.greatest("key", "leader").alias("v"))
+
+
+def _of_several_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members with their class, of buckets that hold more than one."""
+    rooted = members.join(classes, "key")
+    split = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
+    return rooted.join(split, "bucket", "left_semi")
+
+
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (key, root) after links (u, v) between keys: links count once between two classes, so a crowd's links are few."""
+    root = lambda name: classes.select(F.col("key").alias(name), F.col("root").alias(f"r{name}"))
+    between = links.join(root("u"), "u").join(root("v"), "v").where("ru <> rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct()
+    merged = components(between, "near").select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return stage(classes.join(merged, "root", "left").select("key", F.coalesce("to", "root").alias("root")), "near-classes")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -276,5 +300,6 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     firsts = held.groupBy("k").agg(F.min(order).alias("first"))
     kept = (firsts.join(classes.withColumnRenamed("key", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
             .groupBy("root").agg(F.min("first").alias("first")).select("first.k", "first.i"))
-    # rows that repeat both id and text collapse to one
-    return held.join(kept, ["k", "i"], "left_semi").dropDuplicates(["k", "i"]).select("row.*")
+    # rows that repeat both id and text collapse to one, the same one in every run
+    order = F.xxhash64(*[F.col("row").getField(c) for c, kind in docs.dtypes if not kind.startswith("map")])
+    return held.join(kept, ["k", "i"], "left_semi").groupBy("k", "i").agg(F.min_by("row", order).alias("row")).select("row.*")
