@@ -471,8 +471,21 @@ def _(t):
     return stored.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("i3_update_from", """
-SELECT o_orderkey, CASE WHEN l_orderkey IS NOT NULL THEN f ELSE 9 END AS flag FROM orders LEFT JOIN (SELECT l_orderkey, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS f FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1) ON o_orderkey = l_orderkey""")
+_UPDATED_SQL = """
+SELECT o_orderkey, CASE WHEN l_orderkey IS NOT NULL THEN f ELSE 9 END AS flag FROM orders LEFT JOIN (SELECT l_orderkey, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS f FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1) ON o_orderkey = l_orderkey"""
+
+
+@query("i3_update_committed", _UPDATED_SQL)
+def _(t):
+    path = incremental.shared_folder(t.spark, "updated")
+    new = t.lineitem.where("l_linestatus = 'F'").groupBy(F.col("l_orderkey").alias(K)).agg(F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("flag"))
+    old = t.orders.select(K, F.lit(9).alias("flag"), F.col("o_orderpriority").alias("processed_date"))
+    incremental.replace_period(old, path, ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
+    incremental.update_period_rows(t.spark, path, new, [K], ["flag"])
+    return incremental.read_committed(t.spark, path).select(K, "flag")
+
+
+@query("i3_update_from", _UPDATED_SQL)
 def _(t):
     new = t.lineitem.where("l_linestatus = 'F'").groupBy("l_orderkey").agg(F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("flag"))
     old = t.orders.select(K, F.lit(9).alias("flag"))
