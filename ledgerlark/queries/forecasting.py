@@ -13,7 +13,7 @@ from ..operators import timeseries as ts
 from ..plans import forecast as model
 from ..sources import io
 from ..sources.incremental import shared_folder, written
-from .registry import Tables, query, r6_columns, sql_r6
+from .registry import Tables, query, r6, r6_columns, sql_r6
 
 TIME, STATION = "READING_DATETIME", "STATION_ID"
 VARIABLES = ["VELO", "HUME", "TEMP", "N_PM25"]
@@ -218,8 +218,8 @@ def _trained(t: Tables) -> tuple[str, model.Trained]:
     return _TRAINED[key]
 
 
-_FULL = f"full AS (SELECT *, row_number() OVER (ORDER BY {TIME}, STATION_ID) - 1 AS place, count(*) OVER () AS n FROM (SELECT *, lag(VELO, 24) OVER (PARTITION BY STATION_ID ORDER BY {TIME}) AS earlier FROM hourly) WHERE earlier IS NOT NULL)"
-_TESTED = f"tested AS (SELECT fold + 1 AS fold, STATION_ID, {TIME}, N_PM25 FROM full, (SELECT unnest(range(10))::INTEGER AS fold) WHERE place >= n - (10 - fold) * (n // 11) AND place < n - (9 - fold) * (n // 11))"
+_FULL = f"complete AS (SELECT *, row_number() OVER (ORDER BY {TIME}, STATION_ID) - 1 AS place, count(*) OVER () AS n FROM (SELECT *, lag(VELO, 24) OVER (PARTITION BY STATION_ID ORDER BY {TIME}) AS earlier FROM hourly) WHERE earlier IS NOT NULL)"
+_TESTED = f"tested AS (SELECT fold + 1 AS fold, STATION_ID, {TIME}, N_PM25 FROM complete, (SELECT unnest(range(10))::INTEGER AS fold) WHERE place >= n - (10 - fold) * (n // 11) AND place < n - (9 - fold) * (n // 11))"
 
 
 @query("m9_boosted_trees", f"WITH {HOURLY}, {_FULL}, {_TESTED} SELECT fold, STATION_ID AS station, {TIME}, {sql_r6('N_PM25')} AS N_PM25, TRUE AS predicted FROM tested")
