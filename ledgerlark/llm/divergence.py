@@ -126,9 +126,8 @@ class Vocabulary:
 def _recounted(docs: DataFrame, machines: DataFrame, slices: list[tuple[str, int]], held: int) -> DataFrame:
     """(lang, source, ordinal, n) of the terms of ``slices``; a row with ordinal -1 and n 0 for each group that occurs."""
     spark = docs.sparkSession
-    wanted = set(slices)
     rows = machines.where(F.struct("lang", "base").isin([F.struct(F.lit(lang), F.lit(base).cast("bigint")) for lang, base in slices])).select("lang", "base", "first", "machine").toLocalIterator() if slices else ()
-    packed = spark.sparkContext.broadcast([tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in rows if (r["lang"], r["base"]) in wanted])
+    packed = spark.sparkContext.broadcast([tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in rows])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(packed.value)

@@ -6,8 +6,6 @@ and lower case of A-Z only is part of the same table.  A term is whole character
 
 from __future__ import annotations
 
-import hashlib
-
 
 def _table(kept: str) -> bytes:
     inside = {*kept.encode(), *range(128, 256)}
@@ -22,7 +20,3 @@ LETTERS_AND_DIGITS = _table("abcdefghijklmnopqrstuvwxyz0123456789")
 def terms(text: bytes, table: bytes) -> list[bytes]:
     """Maximal runs of the table's characters in order, A-Z in lower case."""
     return text.translate(table).split()
-
-
-def digest(term: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(term, digest_size=8).digest(), "big") >> 1
