@@ -97,8 +97,12 @@ def same_period_counts(left: DataFrame, right: DataFrame, keys: list[str], left_
 
 
 def _left_on(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Left join on equal keys; a missing count becomes 0."""
-    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], value)
+    """Left join on equal keys; a missing count becomes 0.
+
+    The counts spread over days or bands outgrow what Spark expects of them before it has made them, so a broadcast
+    chosen from that would gather them in the driver: they are shuffled and sorted instead.
+    """
+    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], value).hint("merge")
     condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__r_{k}") for k in keys])
     joined = left.join(renamed, condition, "left").drop(*[f"__r_{k}" for k in keys])
     if value.startswith("__"):
