@@ -1,11 +1,12 @@
 """Ordered matching of invoices against settled claims: the first rule that hits wins.
 
-Invoices and claims are never paired row by row.  Every rule turns an invoice into
-probes (rule, key, as_of) and a claim into entries (rule, key, since); a probe is
-answered by what its key had accumulated up to its date: how many claims, the best
+Every rule turns an invoice into probes (rule, key, as_of, low, high) and a claim into
+entries (rule, key, since, value).  Where a key holds at most ``FEW`` claims a probe
+meets them one by one.  In a crowded key invoices and claims are never paired: a probe
+is answered by what its key had accumulated up to its date: how many claims, the best
 one, and the best one of a different invoice number.  These accumulate over a
 timeline with at most three rows per key and date, so a key that holds a third of
-all claims still costs one short timeline.
+all claims still costs one short timeline.  Only there intervals are cut into pieces.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ _ALWAYS = "0001-01-01"
 _FOREVER = "9999-12-31"
 # days of two thousand years make at most 90 pieces
 BLOCKS = tuple(8 ** n for n in range(7))
+#: Claims of a key that a probe may meet one by one; an interval of a crowded key makes about as many pieces.
+FEW = 32
 
 
 @dataclass(frozen=True)
@@ -88,35 +91,57 @@ def _pieces(value: Column, widths: tuple[int, ...]) -> list[Column]:
     return [F.concat(F.lit(f"{n}:"), F.floor(value / w).cast("string")) for n, w in enumerate(widths)]
 
 
-def _entry(rule: MatchRule, parts: list[Column], date_name: str, date: Column) -> Column:
-    return F.struct(F.lit(rule.rank).alias("rule"), _key(parts).alias("key"), date.alias(date_name))
+def _entry(rule: MatchRule, parts: tuple[Column, ...], **more: Column) -> Column:
+    return F.struct(F.lit(rule.rank).alias("rule"), _key(list(parts)).alias("key"), *[c.alias(n) for n, c in more.items()])
 
 
-def _probe_entries(rule: MatchRule, as_of: Column) -> Column:
+def _probe_entry(rule: MatchRule, as_of: Column) -> Column:
+    """The probe of an invoice; without an interval it asks for the value 0, which all claims of such a rule have."""
+    low, high, _ = rule.between or (F.lit(0),) * 3
     date = as_of if rule.dated else F.lit(_FOREVER).cast("date")
-    if rule.between is None:
-        entries = F.array(_entry(rule, list(rule.probe_keys), "as_of", date))
-    else:
-        low, high, _ = (c.cast("bigint") for c in rule.between)
-        entries = F.transform(_cover(low, high, rule.widths), lambda piece: _entry(rule, [*rule.probe_keys, piece], "as_of", date))
-    return entries if rule.probe_where is None else F.when(rule.probe_where, entries)
+    entry = _entry(rule, rule.probe_keys, as_of=date, low=low.cast("bigint"), high=high.cast("bigint"))
+    return entry if rule.probe_where is None else F.when(rule.probe_where, entry)
 
 
-def _claim_entries(rule: MatchRule, since: Column) -> Column:
+def _claim_entry(rule: MatchRule, since: Column) -> Column:
+    value = rule.between[2] if rule.between else F.lit(0)
     date = since if rule.dated else F.lit(_ALWAYS).cast("date")
-    if rule.between is None:
-        entries = F.array(_entry(rule, list(rule.claim_keys), "since", date))
-    else:
-        value = rule.between[2].cast("bigint")
-        entries = F.array(*[_entry(rule, [*rule.claim_keys, piece], "since", date) for piece in _pieces(value, rule.widths)])
-    return entries if rule.claim_where is None else F.when(rule.claim_where, entries)
+    entry = _entry(rule, rule.claim_keys, since=date, value=value.cast("bigint"))
+    return entry if rule.claim_where is None else F.when(rule.claim_where, entry)
 
 
-def _explode(df: DataFrame, arrays: Column, date: str, *keep: Column) -> DataFrame:
-    rows = df.select(*keep, F.explode(arrays).alias("e")).select("*", "e.*").drop("e")
+def _explode(df: DataFrame, entries: list[Column], date: str, *keep: Column) -> DataFrame:
+    present = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    rows = df.select(*keep, F.explode(present).alias("e")).select("*", "e.*").drop("e")
     return rows.where(F.col("key").isNotNull() & F.col(date).isNotNull())
 
 
+def _disjoint(probes: DataFrame) -> DataFrame:
+    """Probes without repeats: of what several of one invoice, key and date ask for, each value is left to one of them."""
+    same = Window.partitionBy("id", "own", "rule", "key", "as_of").orderBy("low", "high")
+    upto = F.max("high").over(same.rowsBetween(Window.unboundedPreceding, -1))
+    # spread by invoice before, so that a hot key of the join that made them can still be split
+    return (probes.repartition("id", "rule", "key").withColumn("low", F.greatest("low", upto + 1))
+            .where(F.col("low") <= F.col("high")))
+
+
+def _in_pieces(df: DataFrame, rules: list[MatchRule], pieces) -> DataFrame:
+    """One row per piece of a row's interval or value, with the piece in its key."""
+    named = F.array(F.lit(""))
+    for rule in rules:
+        if rule.between is not None:
+            named = F.when(F.col("rule") == rule.rank, pieces(rule.widths)).otherwise(named)
+    return df.withColumn("__piece", F.explode(named)).withColumn("key", F.concat("key", "__piece")).drop("__piece", "low", "high", "value")
+
+
+def _probe_pieces(probes: DataFrame, rules: list[MatchRule]) -> DataFrame:
+    return _in_pieces(probes, rules, lambda widths: _cover(F.col("low"), F.col("high"), widths))
+
+
+def _claim_pieces(entries: DataFrame, rules: list[MatchRule]) -> DataFrame:
+    return _in_pieces(entries, rules, lambda widths: F.array(*_pieces(F.col("value"), widths)))
+
+
 def accumulate(probes: DataFrame, entries: DataFrame, other: str, best: Column) -> DataFrame:
     """Answer each (rule, key, as_of): n, the best entry, the two best of different ``other``.
 
@@ -157,33 +182,49 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     A null id that matches a rule voids all later rules, as NOT IN does.  Both keyed tables are written once,
     as each is used several times.
     """
-    present = lambda arrays: F.flatten(F.filter(F.array(*arrays), lambda a: a.isNotNull()))
-    probes = _explode(invoices, present([_probe_entries(r, as_of) for r in rules]), "as_of",
-                      F.col(id).alias("id"), F.col(own).alias("own"))
-    entries = _explode(claims, present([_claim_entries(r, since) for r in rules]), "since", *[F.col(c) for c in payload]).distinct()
-    entries = written(entries, "waterfall-entries")
+    on = ["rule", "key"]
+    probes = _explode(invoices, [_probe_entry(r, as_of) for r in rules], "as_of", F.col(id).alias("id"), F.col(own).alias("own"))
+    entries = _explode(claims, [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
+    entries = written(entries.where(F.col("value").isNotNull()).distinct(), "waterfall-entries")
     # most probes meet no claim at all; they leave before anything is sorted
-    probes = probes.join(entries.select("rule", "key").distinct(), ["rule", "key"], "left_semi").distinct()
-    probes = written(probes, "waterfall-probes")
-    ordered = [*newest, *[c for c in payload if c not in newest]]
-    answers = accumulate(probes, entries, other, F.struct(*ordered))
-    other_best = F.when(F.col("own") != F.col(f"first.{other}"), F.col("first")).otherwise(F.col("second"))
-    hits = (probes.join(answers, ["rule", "key", "as_of"])
-            .groupBy("id", "rule")
-            .agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"),
-                 F.max(F.when(F.col("own").isNotNull(), other_best)).alias("best_other")))
+    sizes = entries.groupBy(*on).agg(F.count(F.lit(1)).alias("n_claims"))
+    probes = written(_disjoint(probes.where(F.col("low") <= F.col("high")).join(sizes, on)), "waterfall-probes")
+    crowd = F.col("n_claims") > FEW
+    # at most one row per rule
+    seen = probes.groupBy("rule").agg(F.max(crowd).alias("crowded"), F.max(F.col("id").isNull()).alias("nameless")).collect()
+    crowded, nameless = ([r.rule for r in seen if r[flag]] for flag in ("crowded", "nameless"))
+
+    newest_first = F.struct(*newest, *[c for c in payload if c not in newest])
+    met = (F.col("since") <= F.col("as_of")) & F.col("value").between(F.col("low"), F.col("high"))
+    pairs = probes.where(~crowd).join(entries, on).where(met).withColumn("best", newest_first)
+    hits = pairs.select("id", "rule", F.lit(1).cast("bigint").alias("n"), "best", F.when(F.col(other) != F.col("own"), F.col("best")).alias("best_other"))
+    if crowded:
+        hits = hits.unionByName(_crowded_hits(probes.where(crowd), entries.where(F.col("rule").isin(crowded)), rules, other, newest_first))
+    hits = hits.groupBy("id", "rule").agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"), F.max("best_other").alias("best_other"))
     unique = [r.rank for r in rules if r.unique]
     if unique:
         hits = hits.where(~F.col("rule").isin(unique) | (F.col("n_matches") == 1))
-    if void_after_null_id:
-        void = _first_rule_of_null_ids(probes, entries, unique)
+    if void_after_null_id and nameless:
+        void = _first_rule_of_null_ids(probes.where(F.col("id").isNull()), entries.where(F.col("rule").isin(nameless)), rules, unique)
         hits = hits.where(F.coalesce(F.col("rule") <= void, F.lit(True)))
     return top_per_key(hits.where(F.col("id").isNotNull()), ["id"], [F.asc("rule")])
 
 
-def _first_rule_of_null_ids(probes: DataFrame, entries: DataFrame, unique: list[int]) -> Column:
+def _crowded_hits(probes: DataFrame, entries: DataFrame, rules: list[MatchRule], other: str, best: Column) -> DataFrame:
+    """What probes of crowded keys meet, one row per probe or piece of it, from the timelines of their keys."""
+    on = ["rule", "key"]
+    entries = written(_claim_pieces(entries.join(probes.select(*on).distinct(), on, "left_semi"), rules), "waterfall-claim-pieces")
+    probes = written(_probe_pieces(probes, rules).join(entries.select(*on).distinct(), on, "left_semi"), "waterfall-probe-pieces")
+    answers = accumulate(probes, entries, other, best)
+    other_best = F.when(F.col("own") != F.col(f"first.{other}"), F.col("first")).otherwise(F.col("second"))
+    return (probes.join(answers, [*on, "as_of"])
+            .select("id", "rule", "n", "best", F.when(F.col("own").isNotNull(), other_best).alias("best_other")))
+
+
+def _first_rule_of_null_ids(probes: DataFrame, entries: DataFrame, rules: list[MatchRule], unique: list[int]) -> Column:
     """Earliest rule matched by an invoice without id, as a scalar; null when there is none."""
-    nameless = probes.where(F.col("id").isNull()).groupBy("rule", "key").agg(F.max("as_of").alias("as_of"))
+    entries = _claim_pieces(entries.join(probes.select("rule", "key").distinct(), ["rule", "key"], "left_semi"), rules)
+    nameless = _probe_pieces(probes, rules).groupBy("rule", "key").agg(F.max("as_of").alias("as_of"))
     counts = (entries.join(nameless, ["rule", "key"]).where(F.col("since") <= F.col("as_of"))
               .groupBy("rule").agg(F.count(F.lit(1)).alias("n")))
     return counts.where(~F.col("rule").isin(unique) | (F.col("n") == 1)).agg(F.min("rule").alias("r")).scalar()

@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from ledgerlark.operators import waterfall
 from ledgerlark.operators.waterfall import BLOCKS, MatchRule, _cover, _pieces, match_waterfall
 
 INVOICE = "id string, number string, k1 string, k2 string, amount bigint, as_of date"
@@ -108,3 +109,27 @@ def test_any_interval_is_a_few_pieces(spark):
     inside = spark.createDataFrame([(low, high, v) for low, high in ((3, 5000),) for v in (2, 3, 70, 5000, 5001)], "low bigint, high bigint, v bigint")
     met = inside.select("v", F.size(F.array_intersect(_cover(F.col("low"), F.col("high"), BLOCKS), F.array(*_pieces(F.col("v"), BLOCKS)))).alias("n")).collect()
     assert {x.v: x.n for x in met} == {2: 0, 3: 1, 70: 1, 5000: 1, 5001: 0}
+
+
+def test_crowded_and_sparse_keys_agree(spark, monkeypatch):
+    for few in (0, 8):
+        monkeypatch.setattr(waterfall, "FEW", few)
+        for nameless in (False, True):
+            invoices, claims = random_case(21, nameless)
+            assert run(spark, invoices, claims) == by_hand(invoices, claims), (few, nameless)
+
+
+def test_sparse_keys_need_no_pieces(spark, monkeypatch):
+    """An invoice whose key holds few claims is never multiplied by the pieces of its interval."""
+    monkeypatch.setattr(waterfall, "_cover", lambda *_: F.raise_error(F.lit("cut into pieces")).cast("array<string>"))
+    invoices, claims = random_case(3)
+    assert run(spark, invoices, claims) == by_hand(invoices, claims)
+
+
+def test_overlapping_intervals_of_an_invoice_count_a_claim_once(spark, monkeypatch):
+    day = dt.date(2024, 1, 1)
+    invoices = [dict(id="i", number="n", k1="a", k2=None, amount=amount, as_of=day) for amount in (10, 13, 13)]
+    claims = [dict(factura=f"f{v}", c1="a", c2=None, c_amount=v, since=day, occurred=day) for v in (-3, -2, 0, 1, 6, 22, 23, 25, 26)]
+    for few in (0, 32):
+        monkeypatch.setattr(waterfall, "FEW", few)
+        assert run(spark, invoices, claims) == {"i": (2, 7, "f6", "f6")}
