@@ -66,8 +66,14 @@ def dominant_value(values: Column) -> Column:
 
 
 def dominant_values(df: DataFrame, key: str, values: Column, name: str) -> DataFrame:
-    """(key, name): the same per key of ``df``, for long arrays: counted by value with partial sums before the shuffle."""
-    words = df.select(F.col(key), F.posexplode_outer(values).alias("__at", "__value"))
+    """(key, name): the same per key of ``df``, for long arrays.
+
+    Rows are brought together by key before their arrays are taken apart, so each array is shuffled once, whole, and
+    its values are counted where they lie.  The number of partitions is given, as joining small ones would go by
+    the bytes of the rows, not by the many values they hold.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = df.repartition(partitions, key).select(F.col(key), F.posexplode_outer(values).alias("__at", "__value"))
     counted = words.groupBy(key, "__value").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
     return counted.groupBy(key).agg(F.max_by("__value", F.struct("__n", -F.col("__first"))).alias(name))
 

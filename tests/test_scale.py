@@ -2,7 +2,9 @@
 
 import datetime as dt
 
-from ledgerlark.operators import joins
+from pyspark.sql import functions as F
+
+from ledgerlark.operators import joins, nested
 
 
 def plan_of(df):
@@ -23,3 +25,12 @@ def test_nearby_counts_are_not_broadcast(spark):
         expected = {a[0]: sum(a[1] is not None and a[1] == b[1] and near(a, b) for b in rows) for a in rows}
         assert {r.id: r.n_near for r in found.collect()} == expected, name
         assert "Broadcast" not in plan_of(found), name
+
+
+def test_values_are_counted_without_shuffling_them(spark):
+    texts = [(1, "b a a b c"), (2, "x"), (2, "y y x x"), (3, None), (4, ""), (None, "p q q"), (None, "p p"), (5, "d d e")]
+    docs = spark.createDataFrame(texts, "id int, text string")
+    found = nested.dominant_values(docs, "id", F.split("text", " "), "word")
+    assert {r.id: r.word for r in found.collect()} == {1: "b", 2: "x", 3: None, 4: "", None: "p", 5: "d"}
+    final = plan_of(found).split("Initial Plan")[0]
+    assert final.count("Exchange") == 1 and final.index("Exchange") > final.index("Generate"), "arrays travel whole"
