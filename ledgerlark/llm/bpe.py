@@ -26,6 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 END, KEPT = "", 1 << 18
+# --- fixed values: letters and digits of Unicode 16, and capitals of 16 and 17, which the tokenizer knows and Python's tables may not ---
+LETTERS_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1),
+    (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139),
+    (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA)]
+LOWER = {0xA7CB: 0x264, 0xA7DC: 0x19B, **{c: c + 1 for c in (0x1C89, 0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA)},
+         **{c: c + 32 for c in range(0x10D50, 0x10D66)}, **{c: c + 27 for c in range(0x16EA0, 0x16EB9)}}
+# --- end of fixed values ---
 COLUMNS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 _NEVER = 1 << 60
 
@@ -78,6 +87,7 @@ class WordBpe:
         self.split_ascii = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         # the regex module may know newer letters than the tokenizer; those unassigned in Python's own tables count as marks
         new = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))) if unicodedata.category(c) == "Cn"]
+        new = sorted({*new} - {c for a, b in LETTERS_16 for c in range(a, b + 1)})
         new = "".join([f"\\U{a:08x}" + (f"-\\U{b:08x}" if b > a else "") for a, b in _ranges(new)]) or r"\x00"
         self.split = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{new}]]+|[\p{{N}}--[{new}]]|[[^\s\p{{L}}\p{{N}}]{new}]+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -159,7 +169,7 @@ class WordBpe:
         known = self.older.pop(chunk, None)
         if known is None:
             # lower case goes letter by letter, so a final sigma is as any other
-            text = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")).lower()
+            text = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower().translate(LOWER)
             split = self.split_ascii if text.isascii() else self.split
             ids = [i for word in split.findall(text) for i in self.word(word)]
             known = len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])

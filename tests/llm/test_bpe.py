@@ -22,6 +22,12 @@ def test_any_text_encodes_and_decodes_as_the_library_does(text):
     assert ours == expected and bpe.encoder(PATH).decode(ours) == LIBRARY.decode(expected, skip_special_tokens=False)
 
 
+def test_letters_newer_than_the_tables_of_python():
+    for c in (0x13460, 0x1C89, 0xA7CB, 0xA7CE, 0xA7DC, 0x10D50, 0x11BF0, 0x16EA0, 0x16D40, 0x1DF90, 0x323B0):
+        for text in (f":{chr(c)}", f"a{chr(c)}1", chr(c)):
+            assert bpe.encoder(PATH).encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids, hex(c)
+
+
 def expected_row(text):
     ids = LIBRARY.encode(text, add_special_tokens=False).ids
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
