@@ -101,8 +101,13 @@ class Summary:
         return out.select(*self.dims, *[c.alias(n) for n, c in columns.items()], *measures)
 
     def build(self, traces: DataFrame) -> DataFrame:
-        """The whole table from traces: each counted once, in its minute."""
-        return self.summed(self.cells(traces, self.grains[0]), self.grains)
+        """The whole table from traces: each counted once, in its minute.
+
+        Most cells hold few traces, so the task that reads a file would hold a cell for nearly each of its rows: traces are
+        spread before they are summed up.
+        """
+        partitions = int(traces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return self.summed(self.cells(traces.repartition(partitions, *self.dims, "tsstart"), self.grains[0]), self.grains)
 
     @property
     def date_column(self) -> str:

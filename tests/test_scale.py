@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import joins, nested
+from ledgerlark.streaming import gold
 
 
 def plan_of(df):
@@ -34,3 +35,15 @@ def test_values_are_counted_without_shuffling_them(spark):
     assert {r.id: r.word for r in found.collect()} == {1: "b", 2: "x", 3: None, 4: "", None: "p", 5: "d"}
     final = plan_of(found).split("Initial Plan")[0]
     assert final.count("Exchange") == 1 and final.index("Exchange") > final.index("Generate"), "arrays travel whole"
+
+
+def test_traces_are_spread_before_they_are_summed_up(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [(f"a{n % 3}", day + dt.timedelta(minutes=n), n) for n in range(50)]
+    traces = spark.createDataFrame(rows, "codagent string, tsstart timestamp_ntz, amntdurationms int")
+    found = gold.latency_percentiles(traces, ["codagent"])
+    days = {r.codagent: r.amntdurationp50 for r in found.where("descgrain = 'day'").collect()}
+    assert days == {"a0": 24.0, "a1": 25.0, "a2": 24.5}
+    final = plan_of(found).split("Initial Plan")[0]
+    # the plan is printed from its end, so what comes first stands last
+    assert "REPARTITION" in final[final.rindex("Aggregate"):], "a task sums up all traces of its file"
