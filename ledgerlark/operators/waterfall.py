@@ -116,13 +116,16 @@ def _explode(df: DataFrame, entries: list[Column], date: str, *keep: Column) ->
     return rows.where(F.col("key").isNotNull() & F.col(date).isNotNull())
 
 
+def _hashed(on: list[str]) -> Column:
+    return F.xxhash64(*on)
+
+
 def _disjoint(probes: DataFrame) -> DataFrame:
     """Probes without repeats: of what several of one invoice, key and date ask for, each value is left to one of them."""
+    probes = probes.where(F.col("low") <= F.col("high"))
     same = Window.partitionBy("id", "own", "rule", "key", "as_of").orderBy("low", "high")
     upto = F.max("high").over(same.rowsBetween(Window.unboundedPreceding, -1))
-    # spread by invoice before, so that a hot key of the join that made them can still be split
-    return (probes.repartition("id", "rule", "key").withColumn("low", F.greatest("low", upto + 1))
-            .where(F.col("low") <= F.col("high")))
+    return probes.withColumn("low", F.greatest("low", upto + 1)).where(F.col("low") <= F.col("high"))
 
 
 def _in_pieces(df: DataFrame, rules: list[MatchRule], pieces) -> DataFrame:
@@ -179,40 +182,45 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     best_other  the newest one whose invoice number differs from the invoice's own
     newest      payload columns ordering the claims (largest wins); the rest of the
                 payload breaks ties
-    A null id that matches a rule voids all later rules, as NOT IN does.  Both keyed tables are written once,
-    as each is used several times.
+    A null id that matches a rule voids all later rules, as NOT IN does.  Invoices and claims are shuffled once before
+    the rules multiply them: copies of an entry share their payload, overlapping probes their invoice, so neither
+    needs a shuffle of its own.  The claims' entries are written once, as they are used several times.
     """
     on = ["rule", "key"]
-    probes = _explode(invoices, [_probe_entry(r, as_of) for r in rules], "as_of", F.col(id).alias("id"), F.col(own).alias("own"))
-    entries = _explode(claims, [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
+    probes_of = lambda rows: _disjoint(_explode(
+        rows.repartition(F.col(id), F.col(own)), [_probe_entry(r, as_of) for r in rules], "as_of", F.col(id).alias("id"), F.col(own).alias("own")))
+    entries = _explode(claims.repartition(*payload), [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
     entries = written(entries.where(F.col("value").isNotNull()).distinct(), "waterfall-entries")
-    # most probes meet no claim at all; they leave before anything is sorted
-    sizes = entries.groupBy(*on).agg(F.count(F.lit(1)).alias("n_claims"))
-    probes = written(_disjoint(probes.where(F.col("low") <= F.col("high")).join(sizes, on)), "waterfall-probes")
-    crowd = F.col("n_claims") > FEW
-    # at most one row per rule
-    seen = probes.groupBy("rule").agg(F.max(crowd).alias("crowded"), F.max(F.col("id").isNull()).alias("nameless")).collect()
-    crowded, nameless = ([r.rule for r in seen if r[flag]] for flag in ("crowded", "nameless"))
+    probes = probes_of(invoices.where(F.col(id).isNotNull()))
+    # keys are counted by hash: one taken for crowded by a collision is answered by its timeline, which is as exact
+    crowds = written(entries.groupBy(_hashed(on).alias("__crowd")).agg(F.count(F.lit(1)).alias("n_claims"))
+                     .where(F.col("n_claims") > FEW).select("__crowd"), "waterfall-crowds")
+    crowded = crowds.limit(1).count() > 0
+    side = lambda df, how: df.join(crowds, _hashed(on) == F.col("__crowd"), how) if crowded else df
 
     newest_first = F.struct(*newest, *[c for c in payload if c not in newest])
     met = (F.col("since") <= F.col("as_of")) & F.col("value").between(F.col("low"), F.col("high"))
-    pairs = probes.where(~crowd).join(entries, on).where(met).withColumn("best", newest_first)
+    pairs = side(probes, "left_anti").join(side(entries, "left_anti"), on).where(met).withColumn("best", newest_first)
     hits = pairs.select("id", "rule", F.lit(1).cast("bigint").alias("n"), "best", F.when(F.col(other) != F.col("own"), F.col("best")).alias("best_other"))
     if crowded:
-        hits = hits.unionByName(_crowded_hits(probes.where(crowd), entries.where(F.col("rule").isin(crowded)), rules, other, newest_first))
+        hits = hits.unionByName(_crowded_hits(side(probes, "left_semi"), side(entries, "left_semi"), rules, other, newest_first))
     hits = hits.groupBy("id", "rule").agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"), F.max("best_other").alias("best_other"))
     unique = [r.rank for r in rules if r.unique]
     if unique:
         hits = hits.where(~F.col("rule").isin(unique) | (F.col("n_matches") == 1))
-    if void_after_null_id and nameless:
-        void = _first_rule_of_null_ids(probes.where(F.col("id").isNull()), entries.where(F.col("rule").isin(nameless)), rules, unique)
-        hits = hits.where(F.coalesce(F.col("rule") <= void, F.lit(True)))
-    return top_per_key(hits.where(F.col("id").isNotNull()), ["id"], [F.asc("rule")])
+    if void_after_null_id:
+        nameless = probes_of(invoices.where(F.col(id).isNull()))
+        found = [r.rule for r in nameless.select("rule").distinct().collect()]  # at most one row per rule
+        if found:
+            void = _first_rule_of_null_ids(nameless, entries.where(F.col("rule").isin(found)), rules, unique)
+            hits = hits.where(F.coalesce(F.col("rule") <= void, F.lit(True)))
+    return top_per_key(hits, ["id"], [F.asc("rule")])
 
 
 def _crowded_hits(probes: DataFrame, entries: DataFrame, rules: list[MatchRule], other: str, best: Column) -> DataFrame:
     """What probes of crowded keys meet, one row per probe or piece of it, from the timelines of their keys."""
     on = ["rule", "key"]
+    probes = written(probes, "waterfall-crowded-probes")
     entries = written(_claim_pieces(entries.join(probes.select(*on).distinct(), on, "left_semi"), rules), "waterfall-claim-pieces")
     probes = written(_probe_pieces(probes, rules).join(entries.select(*on).distinct(), on, "left_semi"), "waterfall-probe-pieces")
     answers = accumulate(probes, entries, other, best)

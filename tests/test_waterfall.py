@@ -133,3 +133,20 @@ def test_overlapping_intervals_of_an_invoice_count_a_claim_once(spark, monkeypat
     for few in (0, 32):
         monkeypatch.setattr(waterfall, "FEW", few)
         assert run(spark, invoices, claims) == {"i": (2, 7, "f6", "f6")}
+
+
+def test_rows_are_shuffled_before_the_rules_multiply_them(spark, monkeypatch):
+    plans = {}
+    kept = waterfall.written
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(waterfall, "written", watched)
+    invoices, claims = random_case(7)
+    assert run(spark, invoices, claims) == by_hand(invoices, claims)
+    entries = plans["waterfall-entries"]
+    # the plan is printed from its end, so what comes first stands last
+    assert entries.count("Exchange") == 1 and entries.index("Exchange") > entries.index("Generate"), "entries are shuffled with their payload"
+    assert "waterfall-probes" not in plans, "all probes are written"
