@@ -29,6 +29,9 @@ EFFECTIVE_MESSAGES = [
 REGULAR = "Flujo regular"
 # --- end of fixed values ----------------------------------------------------
 
+#: Wide rows that a task joins and compares at once, and up to how many such tasks Spark may lay out as it likes.
+TASK_ROWS, FEW_TASKS = 1 << 17, 8
+
 SNAPSHOT = ["bandeja", "des_cobertura", "tip_caso_especial", "proveedor", "sede", "red", "des_producto", "paciente",
             "nom_completo_contratante", "desc_estado", "motivo_notificado"]
 REPORT = [
@@ -43,21 +46,29 @@ def delivery(alerts: DataFrame, snapshot: DataFrame, headers: DataFrame | None,
     """Alerts with the official claim and, for the network, the newest document batch.
 
     group names the alert column that replaces the snapshot's network (provider list).
+
+    Many wide rows are shuffled once, by invoice and claim, and copies of a row meet there too.  The number of partitions then
+    follows the rows, which are counted before: Spark goes by compressed size, which says little of the memory such rows take.
     """
     right = snapshot.select(F.col("factura").alias("__n"), F.col("num_siniestro").alias("__s"), *SNAPSHOT)
     df = alerts.where(F.col("processed_date") == period)
+    columns = [*[c for c in df.columns if c != group], *SNAPSHOT]
     if group:
-        df = df.where(F.col("reglas_mensaje") != MORE_AUTHORISATIONS).withColumnRenamed(group, "__red")
-    on = (F.col("num_factura_documento_ocr") == F.col("__n")) & (F.col("num_siniestro") == F.col("__s"))
-    df = df.join(right, on, "left").drop("__n", "__s")
-    if group:
-        df = df.withColumn("red", F.col("__red")).drop("__red")
+        df = df.where(F.col("reglas_mensaje") != MORE_AUTHORISATIONS).withColumnRenamed(group, "red")
+        right = right.drop("red")
     else:
         batches = latest_per_key(headers.select("invoice_number", "batch_name", "processed_date"), ["invoice_number"],
                                  ["processed_date"], ["batch_name"])
         batch = batches.select(F.replace("invoice_number", F.lit("-"), F.lit("")).alias("__i"), F.col("batch_name").alias("num_lote"))
         df = df.join(batch, F.col("num_factura_documento_ocr") == F.col("__i"), "left").drop("__i")
-    return df.withColumns({
+        columns.append("num_lote")
+    partitions = max(alerts.count(), snapshot.count()) // TASK_ROWS
+    if partitions > FEW_TASKS:
+        df = df.repartition(partitions, "num_factura_documento_ocr", "num_siniestro")
+        right = right.repartition(partitions, "__n", "__s")
+    on = (F.col("num_factura_documento_ocr") == F.col("__n")) & (F.col("num_siniestro") == F.col("__s"))
+    df = df.join(right, on, "left")
+    return df.select(*columns).withColumns({
         "tip_caso_especial": F.coalesce("tip_caso_especial", F.lit(REGULAR)),
         "flag_ocurrenciaActual": F.when(F.col("bandeja").isNotNull(), 1).otherwise(0),
     }).distinct()

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import joins, nested
+from ledgerlark.plans import reports
 from ledgerlark.streaming import gold
 
 
@@ -47,3 +48,20 @@ def test_traces_are_spread_before_they_are_summed_up(spark):
     final = plan_of(found).split("Initial Plan")[0]
     # the plan is printed from its end, so what comes first stands last
     assert "REPARTITION" in final[final.rindex("Aggregate"):], "a task sums up all traces of its file"
+
+
+def test_delivery_rows_are_shuffled_once_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(reports, "TASK_ROWS", 1)
+    rows = [(f"f{n // 2}", f"n{n // 2}" if n < 8 else None, "2024", f"m{n % 4 // 2}") for n in range(10)]
+    alerts = spark.createDataFrame(rows + [(None, None, "2024", "m0"), ("f9", "n9", "2023", "m0")], "num_factura_documento_ocr string, num_siniestro string, processed_date string, reglas_mensaje string")
+    claims = [("f0", "n0", None), ("f0", "n0", reports.REGULAR), ("f1", "n1", "ESPECIAL"), ("f4", None, "ESPECIAL"), (None, None, "ESPECIAL")]
+    snapshot = spark.createDataFrame(claims, "factura string, num_siniestro string, tip_caso_especial string").withColumns({c: F.lit(c) for c in reports.SNAPSHOT if c != "tip_caso_especial"})
+    headers = spark.createDataFrame([("f-0", "old", "1"), ("f-0", "new", "2"), ("f0", "other", "1")], "invoice_number string, batch_name string, processed_date string")
+    found = reports.delivery(alerts, snapshot, headers, "2024")
+    seen = sorted((r.num_factura_documento_ocr or "", r.reglas_mensaje, r.tip_caso_especial, r.bandeja or "", r.flag_ocurrenciaActual, r.num_lote or "") for r in found.collect())
+    regular = [("", "m0", reports.REGULAR, "", 0, "")] + [(f"f{n}", f"m{n % 2}", reports.REGULAR, "", 0, "") for n in (2, 3, 4)]
+    assert seen == sorted([("f0", "m0", reports.REGULAR, "bandeja", 1, lot) for lot in ("new", "other")] + [("f1", "m1", "ESPECIAL", "bandeja", 1, "")] + regular)
+    final = plan_of(found).split("Initial Plan")[0]
+    after = final[:final.index("Join")]
+    assert "Exchange" not in after, "joined rows are shuffled again to be compared"
+    assert ", 12)" in final, "tasks are as many as the rows ask for"
