@@ -26,6 +26,8 @@ _FOREVER = "9999-12-31"
 BLOCKS = tuple(8 ** n for n in range(7))
 #: Claims of a key that a probe may meet one by one; an interval of a crowded key makes about as many pieces.
 FEW = 32
+#: Claims whose entries a task compares at once, and up to how many such tasks Spark may lay out as it likes.
+TASK_CLAIMS, FEW_TASKS = 1 << 17, 8
 
 
 @dataclass(frozen=True)
@@ -189,7 +191,10 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     on = ["rule", "key"]
     probes_of = lambda rows: _disjoint(_explode(
         rows.repartition(F.col(id), F.col(own)), [_probe_entry(r, as_of) for r in rules], "as_of", F.col(id).alias("id"), F.col(own).alias("own")))
-    entries = _explode(claims.repartition(*payload), [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
+    # Spark lays out few tasks by their compressed size; many follow the rows, so that a task's entries take bounded memory
+    tasks = claims.count() // TASK_CLAIMS
+    dealt = claims.repartition(tasks, *payload) if tasks > FEW_TASKS else claims.repartition(*payload)
+    entries = _explode(dealt, [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
     entries = written(entries.where(F.col("value").isNotNull()).distinct(), "waterfall-entries")
     probes = probes_of(invoices.where(F.col(id).isNotNull()))
     # keys are counted by hash: one taken for crowded by a collision is answered by its timeline, which is as exact

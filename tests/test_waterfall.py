@@ -150,3 +150,18 @@ def test_rows_are_shuffled_before_the_rules_multiply_them(spark, monkeypatch):
     # the plan is printed from its end, so what comes first stands last
     assert entries.count("Exchange") == 1 and entries.index("Exchange") > entries.index("Generate"), "entries are shuffled with their payload"
     assert "waterfall-probes" not in plans, "all probes are written"
+
+
+def test_tasks_of_many_claims_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(waterfall, "TASK_CLAIMS", 5)
+    plans = {}
+    kept = waterfall.written
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(waterfall, "written", watched)
+    invoices, claims = random_case(9)
+    assert run(spark, invoices, claims) == by_hand(invoices, claims)
+    assert ", 10), REPARTITION_BY_NUM" in plans["waterfall-entries"]
