@@ -36,7 +36,7 @@ LOWER = {0xA7CB: 0x264, 0xA7DC: 0x19B, **{c: c + 1 for c in (0x1C89, 0xA7CC, 0xA
          **{c: c + 32 for c in range(0x10D50, 0x10D66)}, **{c: c + 27 for c in range(0x16EA0, 0x16EB9)}}
 # --- end of fixed values ---
 COLUMNS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-_NEVER = 1 << 60
+_NEVER, _STRETCH = 1 << 60, 1 << 12
 
 
 def _byte_symbols() -> list[str]:
@@ -57,6 +57,12 @@ def _ranges(ordered: list[int]) -> list[list[int]]:
     return out
 
 
+def _letters(kind) -> Iterator[str]:
+    """All characters of a pattern's kind; looked for in stretches, as all of them at once would take 160 MB."""
+    for start in range(0, 0x110000, _STRETCH):
+        yield from kind.findall("".join([chr(c) for c in range(start, start + _STRETCH) if not 0xD800 <= c < 0xE000]))
+
+
 class WordBpe:
     """Encoder of one tokenizer file; built once in each Python worker."""
 
@@ -86,7 +92,7 @@ class WordBpe:
         self.bytes = _byte_symbols()
         self.split_ascii = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         # the regex module may know newer letters than the tokenizer; those unassigned in Python's own tables count as marks
-        new = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))) if unicodedata.category(c) == "Cn"]
+        new = [ord(c) for c in _letters(regex.compile(r"[\p{L}\p{N}]")) if unicodedata.category(c) == "Cn"]
         new = sorted({*new} - {c for a, b in LETTERS_16 for c in range(a, b + 1)})
         new = "".join([f"\\U{a:08x}" + (f"-\\U{b:08x}" if b > a else "") for a, b in _ranges(new)]) or r"\x00"
         self.split = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{new}]]+|[\p{{N}}--[{new}]]|[[^\s\p{{L}}\p{{N}}]{new}]+")
@@ -131,7 +137,7 @@ class WordBpe:
                     i += 1
                 else:
                     j += 1
-            if len(self.fits) >= 2 * KEPT:
+            if len(self.fits) >= KEPT:
                 self.fits.clear()
             self.fits[a, b] = known
         return known
@@ -141,7 +147,8 @@ class WordBpe:
         known = self.words.get(word)
         if known is not None:
             return known
-        symbols = "".join([self.bytes[b] for b in word.encode()]) + END
+        # blanks are in no word, and all else that is printable in ASCII stands for itself
+        symbols = (word if word.isascii() and word.isprintable() else "".join([self.bytes[b] for b in word.encode()])) + END
         last: list[str | None] = [None] * (len(symbols) + 1)
         fits = self.fits
         for end, (token, length) in self.automaton.iter(symbols):
@@ -170,10 +177,12 @@ class WordBpe:
         if known is None:
             # lower case goes letter by letter, so a final sigma is as any other
             text = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower().translate(LOWER)
-            split = self.split_ascii if text.isascii() else self.split
-            ids = [i for word in split.findall(text) for i in self.word(word)]
+            if text.isascii():
+                ids = self.word(text) if text.isalpha() else [i for word in self.split_ascii.findall(text) for i in self.word(word)]
+            else:
+                ids = [i for word in self.split.findall(text) for i in self.word(word)]
             known = len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
-        if len(self.chunks) >= KEPT:  # the latest ``KEPT`` stay at hand while the next ones gather
+        if len(self.chunks) >= KEPT // 2:  # the latest half of ``KEPT`` stays at hand while the next ones gather
             self.older, self.chunks = self.chunks, {}
         self.chunks[chunk] = known
         return known

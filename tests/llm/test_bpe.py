@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 from helpers import documents, odd_docs, odd_rows
 from hypothesis import given, settings
@@ -53,3 +54,21 @@ def test_full_caches_change_nothing(monkeypatch):
     small = bpe.WordBpe(PATH)
     text = "one two three one two four five one the The thing things thing's"
     assert small.encode(text) == small.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_tables_of_stretches_stay_within_their_bound(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 8)
+    small = bpe.WordBpe(PATH)
+    for n in range(40):
+        small.encode(f"word{n} other.{n}")
+        assert len(small.chunks) + len(small.older) <= 8
+
+
+def test_building_an_encoder_takes_little_more_than_it_keeps():
+    tracemalloc.start()
+    try:
+        kept = bpe.WordBpe(PATH)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert kept.rank and peak < held + (50 << 20)
