@@ -81,11 +81,17 @@ def score(g, n, p: BoostParameters):
 
 
 def sums(codes: np.ndarray, node: np.ndarray, gradient: np.ndarray, nodes: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients and rows by node, column and bin; ``codes`` holds the bin of each row and column."""
-    n, width = codes.shape
-    at = ((node[:, None] * width + np.arange(width)) * bins + codes).ravel()
-    shape, size = (nodes, width, bins), nodes * width * bins
-    return np.bincount(at, np.repeat(gradient, width), size).reshape(shape), np.bincount(at, minlength=size).reshape(shape)
+    """Gradients and rows by node, column and bin; ``codes`` holds the bin of each row and column.
+
+    Columns go one by one, so that what is held beside the sums is a few numbers a row, not a few for each row and column.
+    """
+    shape, size = (nodes, codes.shape[1], bins), nodes * bins
+    g, n, start = np.empty(shape), np.empty(shape, np.int64), node * bins
+    for k, column in enumerate(np.ascontiguousarray(codes.T)):
+        at = start + column
+        g[:, k] = np.bincount(at, gradient, size).reshape(nodes, bins)
+        n[:, k] = np.bincount(at, minlength=size).reshape(nodes, bins)
+    return g, n
 
 
 def best_cuts(g: np.ndarray, n: np.ndarray, p: BoostParameters) -> list[tuple[int, int, float, float, int] | None]:

@@ -1,5 +1,7 @@
 """Boosted trees against growth by plain loops."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +125,16 @@ def test_rows_without_label_and_constant_features(spark):
     assert model.base == 3.0
     assert boosting.predict(df, model).count() == 3
     assert boosting.predict(df.where(F.lit(False)), model).count() == 0
+
+
+def test_sums_hold_a_few_numbers_a_row():
+    draw = np.random.default_rng(2)
+    codes, node, gradient = draw.integers(0, 16, (20_000, 60)).astype(np.uint8), draw.integers(0, 4, 20_000), draw.normal(size=20_000)
+    tracemalloc.start()
+    g, n = boosting.sums(codes, node, gradient, 4, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < codes.nbytes * 4  # one number of 8 bytes for each row and column would be 8 times as much
+    for k, column, cut in ((0, 0, 0), (3, 59, 15), (2, 17, 8)):
+        here = (node == k) & (codes[:, column] == cut)
+        assert n[k, column, cut] == here.sum() and g[k, column, cut] == pytest.approx(gradient[here].sum())
