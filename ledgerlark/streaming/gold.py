@@ -73,6 +73,8 @@ class Summary:
     sums: Callable[[], dict[str, Column]]
     measures: Callable[[], dict[str, Column]]
     detail: str | None = None
+    #: Columns of traces that ``sums`` and ``where`` read besides.
+    reads: list[str] = field(default_factory=list)
     where: str | None = None
     grains: list[str] = field(default_factory=lambda: GRAINS)
     #: Bucket columns of a table without grains, from ``tsbucket``; they go before its measures.
@@ -109,6 +111,11 @@ class Summary:
         partitions = int(traces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return self.summed(self.cells(traces.repartition(partitions, *self.dims, "tsstart"), self.grains[0]), self.grains)
 
+    @property
+    def columns(self) -> list[str]:
+        """Columns of traces that the table is made from."""
+        return [*self.dims, *self.reads, *([self.detail] if self.detail else []), "tsstart"]
+
     @property
     def date_column(self) -> str:
         return "dtdate" if self.bucket else "dtbucket"
@@ -124,24 +131,26 @@ KPIS = Summary(
     ["nmowner", "nmsquad", "codagent", "nmagent", "codidentity", "coddomain", "codsubdomain"],
     lambda: {**_count(), "tokens_in": _total("qtyintoken"), "tokens_out": _total("qtyouttoken"), **_duration()},
     lambda: {"cntconversations": F.count_distinct("detail").cast("int"), "cntinteractions": F.sum("n"), "qtyintoken": F.sum("tokens_in"), "qtyouttoken": F.sum("tokens_out"),
-             "amntlatencyavg": _mean_duration()}, "idconversation")
+             "amntlatencyavg": _mean_duration()}, "idconversation", ["qtyintoken", "qtyouttoken", "amntdurationms"])
 INTERACTIONS = Summary(
     ["nmowner", "nmsquad", "codagent", "codidentity", "descidentitytype", "coddomain", "codsubdomain"], _count, lambda: {"cntinteractions": F.sum("n")}, grains=["hour"],
     bucket=lambda: {"dtdate": F.to_date("tsbucket"), "descdayofweek": F.date_format("tsbucket", "E"), "idxhour": F.hour("tsbucket")})
 TOKEN_COSTS = Summary(
     AGENT_DIMENSIONS,
     lambda: {"tokens_in": _total("qtyintoken"), "tokens_out": _total("qtyouttoken"), "cost_in": F.sum("amntcostin"), "cost_out": F.sum("amntcostout")},
-    lambda: {"qtyintoken": F.sum("tokens_in"), "qtyouttoken": F.sum("tokens_out"), "amntcostin": F.sum("cost_in").cast("decimal(18,6)"), "amntcostout": F.sum("cost_out").cast("decimal(18,6)")})
+    lambda: {"qtyintoken": F.sum("tokens_in"), "qtyouttoken": F.sum("tokens_out"), "amntcostin": F.sum("cost_in").cast("decimal(18,6)"), "amntcostout": F.sum("cost_out").cast("decimal(18,6)")},
+    reads=["qtyintoken", "qtyouttoken", "amntcostin", "amntcostout"])
 AGENT_METRICS = Summary(
     AGENT_DIMENSIONS,
     lambda: {**_count(), **_duration(), "ok": _how_often(F.col("flgsuccess")), "cost_in": F.sum("amntcostin"), "cost_out": F.sum("amntcostout")},
     lambda: {"cntops": F.sum("n").cast("int"), "amntdurationavg": _mean_duration(), "pctsuccessrate": exact_mean(F.sum("ok"), F.sum("n"), 4, "decimal(5,4)"),
-             "amntcosttotal": (F.sum("cost_in") + F.sum("cost_out")).cast("decimal(18,6)"), **{n: p.cast("decimal(18,2)") for n, p in _percentiles().items()}}, "amntdurationms")
+             "amntcosttotal": (F.sum("cost_in") + F.sum("cost_out")).cast("decimal(18,6)"), **{n: p.cast("decimal(18,2)") for n, p in _percentiles().items()}}, "amntdurationms",
+    ["flgsuccess", "amntcostin", "amntcostout"])
 TOOL_INVOCATIONS = Summary(
     ["nmowner", "nmsquad", "codagent", "codidentity", "nmtool"],
     lambda: {**_count(), **_duration(), "failed": _how_often(~F.col("flgsuccess"))},
     lambda: {"cntinvocations": F.sum("n").cast("int"), "amntdurationavg": _mean_duration(), "pcterrorrate": exact_mean(F.sum("failed"), F.sum("n"), 4, "decimal(5,4)")},
-    where="nmtool IS NOT NULL")
+    reads=["amntdurationms", "flgsuccess"], where="nmtool IS NOT NULL")
 
 SUMMARIES = {"kpis": KPIS, "interactions": INTERACTIONS, "token_costs": TOKEN_COSTS, "agent_metrics": AGENT_METRICS, "tool_invocations": TOOL_INVOCATIONS}
 RECENT = "recent_traces"
@@ -155,8 +164,11 @@ tool_invocations: Callable[[DataFrame], DataFrame] = TOOL_INVOCATIONS.build
 
 
 def with_costs(traces: DataFrame, prices: DataFrame) -> DataFrame:
-    """Costs from a price per token and model (columns nmmodel, price_in, price_out)."""
-    priced = traces.drop("amntcostin", "amntcostout").join(prices, "nmmodel", "left")
+    """Costs from a price per token and model (columns nmmodel, price_in, price_out).
+
+    The price list, a row per model, is broadcast: a shuffle would leave all traces to as many tasks as there are models.
+    """
+    priced = traces.drop("amntcostin", "amntcostout").join(F.broadcast(prices), "nmmodel", "left")
     return priced.withColumns({
         "amntcostin": (F.col("qtyintoken") * F.col("price_in")).cast("decimal(18,6)"),
         "amntcostout": (F.col("qtyouttoken") * F.col("price_out")).cast("decimal(18,6)"),
@@ -215,9 +227,18 @@ def unique_traces(traces: DataFrame, delay: str = DELAY) -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["idtrace"]).drop("__event")
 
 
+def _wanted(traces: DataFrame, tables: list[str] | None) -> DataFrame:
+    """The id and the columns that some tables are made from, so that no others are shuffled and kept."""
+    names = tables or TABLES
+    if RECENT in names:
+        return traces
+    read = {"idtrace", *(c for name in names for c in SUMMARIES[name].columns)}
+    return traces.select(*[c for c in traces.columns if c in read])
+
+
 def gold_stream(traces: DataFrame, root: str, checkpoint: str, tables: list[str] | None = None, available_now: bool = False, delay: str = DELAY, layout: Layout | None = None):
     """Keep the tables from a stream, every ten seconds or once over what is available."""
-    writer = (unique_traces(traces, delay).writeStream.option("checkpointLocation", checkpoint)
+    writer = (unique_traces(_wanted(traces, tables), delay).writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda batch, batch_id: write_gold(batch, batch_id, root, tables, checkpoint, layout or Layout())))
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=INTERVAL)).start()
 

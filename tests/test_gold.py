@@ -121,3 +121,27 @@ def test_percentiles_from_merged_counts(spark):
     per_hour = gold.latency_percentiles(frame(spark, rows), ["codagent"]).where("descgrain = 'hour'").orderBy("tsbucket").collect()
     for h, r in enumerate(per_hour):
         assert r["amntdurationp95"] == pytest.approx(np.quantile([v for i, v in enumerate(values) if i % 180 // 60 == h], 0.95))
+
+
+def test_tables_need_no_other_columns_than_they_name(spark):
+    whole = frame(spark, some_traces(20, 3))
+    for name, summary in gold.SUMMARIES.items():
+        some = gold._wanted(whole, [name])
+        assert set(some.columns) == {"idtrace", *summary.columns} and len(some.columns) < len(whole.columns)
+        assert plain(summary.build(some)) == plain(summary.build(whole)), name
+    both = gold._wanted(whole, ["interactions", "tool_invocations"])
+    assert set(both.columns) == {"idtrace", *gold.INTERACTIONS.columns, *gold.TOOL_INVOCATIONS.columns}
+    assert gold._wanted(whole, None).columns == gold._wanted(whole, ["interactions", gold.RECENT]).columns == whole.columns
+
+
+def test_traces_are_not_dealt_out_by_their_model(spark):
+    rows = [dict(trace(i, DAY), nmmodel=model) for i, model in enumerate(["m", "m", "other", None])]
+    prices = spark.createDataFrame([("m", 2.0, 3.0)], "nmmodel string, price_in double, price_out double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with a list whose size Spark does not know
+    try:
+        priced = gold.with_costs(frame(spark, rows).repartition(3), prices)
+        assert priced.rdd.getNumPartitions() == 3  # as read, not one for each model
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r["idtrace"], r["nmmodel"], r["amntcostin"]) for r in priced.collect()) == [("0", "m", 0), ("1", "m", 2), ("2", "other", None), ("3", None, None)]
