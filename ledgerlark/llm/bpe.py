@@ -8,7 +8,8 @@ and needs no merging of lists.
 
 The tokenizer file holds byte-level symbols with ``</w>`` on the last one of a word; texts are brought to
 NFC and lower case, and white space is dropped.  Special tokens in a text are ids of their own.  Words repeat, so
-each task keeps the encodings of the words it has met, in a table of bounded size.
+each task keeps the encodings of the words it has met, in a table of bounded size.  Tasks that follow each other in a
+worker share its encoder, which is let go soon after the last of them.
 
 Defined results: null and empty texts have no tokens; texts are encoded whole; equal texts have equal
 rows; other columns are not read.
@@ -18,14 +19,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 END, KEPT = "", 1 << 18
+#: Seconds after which a worker lets go of an encoder that no task uses: workers go on to other stages, and a filled one takes hundreds of MB.
+IDLE = 2.0
 # --- fixed values: letters and digits of Unicode 16, and capitals of 16 and 17, which the tokenizer knows and Python's tables may not ---
 LETTERS_16 = [
     (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
@@ -89,6 +94,7 @@ class WordBpe:
             if s in self.built or len(s.rstrip(END)) == 1:
                 self.automaton.add_word(s, (s, len(s)))
         self.automaton.make_automaton()
+        self.number = {i: str(i) for i in self.token}  # one string for each id, so that kept encodings share them
         self.bytes = _byte_symbols()
         self.split_ascii = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         # the regex module may know newer letters than the tokenizer; those unassigned in Python's own tables count as marks
@@ -181,7 +187,7 @@ class WordBpe:
                 ids = self.word(text) if text.isalpha() else [i for word in self.split_ascii.findall(text) for i in self.word(word)]
             else:
                 ids = [i for word in self.split.findall(text) for i in self.word(word)]
-            known = len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids])
+            known = len(ids), " ".join([self.number[i] for i in ids]), " ".join([self.token[i] for i in ids])
         if len(self.chunks) >= KEPT // 2:  # the latest half of ``KEPT`` stays at hand while the next ones gather
             self.older, self.chunks = self.chunks, {}
         self.chunks[chunk] = known
@@ -211,6 +217,23 @@ def encoder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+_leaving: threading.Timer | None = None
+
+
+@contextmanager
+def lent_encoder(path: str) -> Iterator[WordBpe]:
+    """The encoder for one task; tasks that follow within ``IDLE`` seconds find it as it is, after that it is let go."""
+    global _leaving
+    if _leaving:
+        _leaving.cancel()
+    try:
+        yield encoder(path)
+    finally:
+        _leaving = threading.Timer(IDLE, encoder.cache_clear)
+        _leaving.daemon = True
+        _leaving.start()
+
+
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, number of tokens, and digests of the ids and of the decoded text of every row of ``docs``.
 
@@ -218,16 +241,16 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        for batch in batches:
-            n, ids, decoded = [], [], []
-            for text in batch.column(1):
-                pieces = bpe.pieces(text.as_py() or "")
-                n.append(sum([p[0] for p in pieces]))
-                ids.append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with lent_encoder(path) as bpe:
+            for batch in batches:
+                n, ids, decoded = [], [], []
+                for text in batch.column(1):
+                    pieces = bpe.pieces(text.as_py() or "")
+                    n.append(sum([p[0] for p in pieces]))
+                    ids.append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id bigint, {COLUMNS}")
 
@@ -236,10 +259,10 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and the token ids themselves of every row."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        for batch in batches:
-            ids = pa.array([bpe.encode(t.as_py() or "") for t in batch.column(1)], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+        with lent_encoder(path) as bpe:
+            for batch in batches:
+                ids = pa.array([bpe.encode(t.as_py() or "") for t in batch.column(1)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids array<int>")
 
@@ -248,9 +271,9 @@ def decoded_texts(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and the decoded text of rows (doc_id, ids)."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        for batch in batches:
-            texts = pa.array([bpe.decode(i.as_py() or []) for i in batch.column(1)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
+        with lent_encoder(path) as bpe:
+            for batch in batches:
+                texts = pa.array([bpe.decode(i.as_py() or []) for i in batch.column(1)], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id bigint, text string")

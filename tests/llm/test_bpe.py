@@ -1,6 +1,8 @@
 import hashlib
+import time
 import tracemalloc
 
+import pyarrow as pa
 from helpers import documents, odd_docs, odd_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,3 +74,33 @@ def test_building_an_encoder_takes_little_more_than_it_keeps():
     finally:
         tracemalloc.stop()
     assert kept.rank and peak < held + (50 << 20)
+
+
+class Batches:
+    """Stands for a frame: hands out the function that a task runs."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_an_encoder_that_no_task_uses_is_let_go(monkeypatch):
+    monkeypatch.setattr(bpe, "IDLE", 0.5, raising=False)
+    bpe.encoder.cache_clear()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two", None])], ["doc_id", "text"])
+    task = bpe.encode_texts(Batches(), PATH)
+
+    def slow(batches):  # a task that takes longer than ``IDLE``
+        for b in batches:
+            time.sleep(1)
+            assert bpe.encoder.cache_info().currsize == 1
+            yield b
+
+    first = [b.to_pylist() for b in task(slow([batch]))]
+    kept = bpe.encoder.cache_info().misses
+    assert [b.to_pylist() for b in task(slow([batch]))] == first and bpe.encoder.cache_info().misses == kept
+    time.sleep(1.5)
+    assert bpe.encoder.cache_info().currsize == 0
+    assert [b.to_pylist() for b in task([batch])] == first
