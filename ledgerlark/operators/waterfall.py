@@ -11,12 +11,15 @@ all claims still costs one short timeline.  Only there intervals are cut into pi
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.incremental import written
+from ..session import freed_shuffles
+from ..sources.incremental import discard, written
 from .dedup import top_per_key
 
 _SEPARATOR = "\u0001"
@@ -97,12 +100,14 @@ def _entry(rule: MatchRule, parts: tuple[Column, ...], **more: Column) -> Column
     return F.struct(F.lit(rule.rank).alias("rule"), _key(list(parts)).alias("key"), *[c.alias(n) for n, c in more.items()])
 
 
-def _probe_entry(rule: MatchRule, as_of: Column) -> Column:
-    """The probe of an invoice; without an interval it asks for the value 0, which all claims of such a rule have."""
+def _probes(invoices: DataFrame, rule: MatchRule, as_of: Column, id: str, own: str) -> DataFrame:
+    """The probes of a rule; without an interval they ask for the value 0, which all claims of such a rule have."""
     low, high, _ = rule.between or (F.lit(0),) * 3
     date = as_of if rule.dated else F.lit(_FOREVER).cast("date")
     entry = _entry(rule, rule.probe_keys, as_of=date, low=low.cast("bigint"), high=high.cast("bigint"))
-    return entry if rule.probe_where is None else F.when(rule.probe_where, entry)
+    rows = invoices if rule.probe_where is None else invoices.where(rule.probe_where)
+    rows = rows.select(F.col(id).alias("id"), F.col(own).alias("own"), entry.alias("e")).select("id", "own", "e.*")
+    return rows.where(F.col("key").isNotNull() & F.col("as_of").isNotNull() & (F.col("low") <= F.col("high")))
 
 
 def _claim_entry(rule: MatchRule, since: Column) -> Column:
@@ -113,18 +118,14 @@ def _claim_entry(rule: MatchRule, since: Column) -> Column:
 
 
 def _explode(df: DataFrame, entries: list[Column], date: str, *keep: Column) -> DataFrame:
-    present = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    rows = df.select(*keep, F.explode(present).alias("e")).select("*", "e.*").drop("e")
+    rows = df.select(*keep, F.explode(F.array(*entries)).alias("e")).select("*", "e.*").drop("e")
     return rows.where(F.col("key").isNotNull() & F.col(date).isNotNull())
 
 
-def _hashed(on: list[str]) -> Column:
-    return F.xxhash64(*on)
-
-
-def _disjoint(probes: DataFrame) -> DataFrame:
+def _disjoint(probes: DataFrame, rule: MatchRule) -> DataFrame:
     """Probes without repeats: of what several of one invoice, key and date ask for, each value is left to one of them."""
-    probes = probes.where(F.col("low") <= F.col("high"))
+    if rule.between is None:
+        return probes.distinct()
     same = Window.partitionBy("id", "own", "rule", "key", "as_of").orderBy("low", "high")
     upto = F.max("high").over(same.rowsBetween(Window.unboundedPreceding, -1))
     return probes.withColumn("low", F.greatest("low", upto + 1)).where(F.col("low") <= F.col("high"))
@@ -184,60 +185,105 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     best_other  the newest one whose invoice number differs from the invoice's own
     newest      payload columns ordering the claims (largest wins); the rest of the
                 payload breaks ties
-    A null id that matches a rule voids all later rules, as NOT IN does.  Invoices and claims are shuffled once before
-    the rules multiply them: copies of an entry share their payload, overlapping probes their invoice, so neither
-    needs a shuffle of its own.  The claims' entries are written once, as they are used several times.
+    A null id that matches a rule voids all later rules, as NOT IN does.  Claims are shuffled once before the rules
+    multiply them: copies of an entry share their payload, so they need no shuffle of their own.  The entries are written
+    once.  Rules follow each other: an invoice that a rule has matched asks no later one, what a rule finds is written,
+    and the disk of its shuffles is free for the next.  Only what was found stays at the end.
     """
-    on = ["rule", "key"]
-    probes_of = lambda rows: _disjoint(_explode(
-        rows.repartition(F.col(id), F.col(own)), [_probe_entry(r, as_of) for r in rules], "as_of", F.col(id).alias("id"), F.col(own).alias("own")))
-    # Spark lays out few tasks by their compressed size; many follow the rows, so that a task's entries take bounded memory
-    tasks = claims.count() // TASK_CLAIMS
-    dealt = claims.repartition(tasks, *payload) if tasks > FEW_TASKS else claims.repartition(*payload)
-    entries = _explode(dealt, [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
-    entries = written(entries.where(F.col("value").isNotNull()).distinct(), "waterfall-entries")
-    probes = probes_of(invoices.where(F.col(id).isNotNull()))
-    # keys are counted by hash: one taken for crowded by a collision is answered by its timeline, which is as exact
-    crowds = written(entries.groupBy(_hashed(on).alias("__crowd")).agg(F.count(F.lit(1)).alias("n_claims"))
-                     .where(F.col("n_claims") > FEW).select("__crowd"), "waterfall-crowds")
-    crowded = crowds.limit(1).count() > 0
-    side = lambda df, how: df.join(crowds, _hashed(on) == F.col("__crowd"), how) if crowded else df
-
-    newest_first = F.struct(*newest, *[c for c in payload if c not in newest])
-    met = (F.col("since") <= F.col("as_of")) & F.col("value").between(F.col("low"), F.col("high"))
-    pairs = side(probes, "left_anti").join(side(entries, "left_anti"), on).where(met).withColumn("best", newest_first)
-    hits = pairs.select("id", "rule", F.lit(1).cast("bigint").alias("n"), "best", F.when(F.col(other) != F.col("own"), F.col("best")).alias("best_other"))
-    if crowded:
-        hits = hits.unionByName(_crowded_hits(side(probes, "left_semi"), side(entries, "left_semi"), rules, other, newest_first))
-    hits = hits.groupBy("id", "rule").agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"), F.max("best_other").alias("best_other"))
-    unique = [r.rank for r in rules if r.unique]
-    if unique:
-        hits = hits.where(~F.col("rule").isin(unique) | (F.col("n_matches") == 1))
-    if void_after_null_id:
-        nameless = probes_of(invoices.where(F.col(id).isNull()))
-        found = [r.rule for r in nameless.select("rule").distinct().collect()]  # at most one row per rule
-        if found:
-            void = _first_rule_of_null_ids(nameless, entries.where(F.col("rule").isin(found)), rules, unique)
-            hits = hits.where(F.coalesce(F.col("rule") <= void, F.lit(True)))
-    return top_per_key(hits, ["id"], [F.asc("rule")])
-
-
-def _crowded_hits(probes: DataFrame, entries: DataFrame, rules: list[MatchRule], other: str, best: Column) -> DataFrame:
+    scratch: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(written(df, name))
+        return scratch[-1]
+
+    with freed_shuffles(invoices.sparkSession):
+        # Spark lays out few tasks by their compressed size; many follow the rows, so that a task's entries take bounded memory
+        tasks = claims.count() // TASK_CLAIMS
+        dealt = claims.repartition(tasks, *payload) if tasks > FEW_TASKS else claims.repartition(*payload)
+        entries = _explode(dealt, [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
+        entries = kept(entries.where(F.col("value").isNotNull()).distinct(), "waterfall-entries")
+        # keys are counted by hash: one taken for crowded by a collision is answered by its timeline, which is as exact
+        crowds = kept(entries.groupBy("rule", F.xxhash64("key").alias("__crowd")).agg(F.count(F.lit(1)).alias("n_claims"))
+                      .where(F.col("n_claims") > FEW).select("rule", "__crowd"), "waterfall-crowds")
+        crowded = {r.rule for r in crowds.select("rule").distinct().collect()}  # at most one row per rule
+        ordered = sorted(rules, key=lambda r: r.rank)
+        if void_after_null_id and invoices.where(F.col(id).isNull()).limit(1).count():
+            probes = [_probes(invoices.where(F.col(id).isNull()), r, as_of, id, own) for r in ordered]
+            nameless = kept(reduce(DataFrame.unionByName, [_disjoint(p, r) for p, r in zip(probes, ordered, strict=True)]), "waterfall-nameless")
+            void = _first_rule_of_null_ids(nameless, entries, rules)
+            ordered = [r for r in ordered if void is None or r.rank <= void]
+
+        newest_first = F.struct(*newest, *[c for c in payload if c not in newest])
+        left, reduced = invoices.where(F.col(id).isNotNull()), False
+        found: list[DataFrame] = []
+        taken: list[DataFrame] = []  # ids found since the invoices left were written
+        for n, rule in enumerate(ordered):
+            probes = _probes(left, rule, as_of, id, own)
+            if taken:
+                probes = probes.join(reduce(DataFrame.unionByName, taken).hint("merge"), "id", "left_anti")
+            of_rule = entries.where(F.col("rule") == rule.rank)
+            crowd = crowds.where(F.col("rule") == rule.rank).select("__crowd") if rule.rank in crowded else None
+            steps = len(scratch)
+            hits = _hits(_disjoint(probes, rule), of_rule, crowd, rule, other, newest_first, kept)
+            hits = hits.groupBy("id").agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"), F.max("best_other").alias("best_other"))
+            if rule.unique:
+                hits = hits.where(F.col("n_matches") == 1)
+            found.append(written(hits.select("id", F.lit(rule.rank).alias("rule"), "n_matches", "best", "best_other"), "waterfall-found"))
+            discard(*scratch[steps:])
+            del scratch[steps:]
+            ids, later = found[-1].select("id"), ordered[n + 1:]
+            if reduced:
+                taken.append(ids)
+            elif later and not ids.isEmpty():
+                left, reduced = kept(_left(left, ids, later, as_of, id, own), "waterfall-left"), True
+    discard(*scratch)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _hits(probes: DataFrame, entries: DataFrame, crowd: DataFrame | None, rule: MatchRule, other: str, best: Column,
+          kept: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """(id, n, best, best_other) of the probes of a rule that meet claims; ``crowd`` has the hashes of its crowded keys."""
+    side = lambda df, how: df if crowd is None else df.join(crowd, F.xxhash64("key") == F.col("__crowd"), how)
+    met = F.col("since") <= F.col("as_of")
+    if rule.between is not None:
+        met &= F.col("value").between(F.col("low"), F.col("high"))
+    pairs = side(probes, "left_anti").drop("rule").join(side(entries, "left_anti").drop("rule"), "key").where(met).withColumn("best", best)
+    hits = pairs.select("id", F.lit(1).cast("bigint").alias("n"), "best", F.when(F.col(other) != F.col("own"), F.col("best")).alias("best_other"))
+    if crowd is None:
+        return hits
+    return hits.unionByName(_crowded_hits(side(probes, "left_semi"), side(entries, "left_semi"), [rule], other, best, kept))
+
+
+def _left(invoices: DataFrame, matched: DataFrame, rules: list[MatchRule], as_of: Column, id: str, own: str) -> DataFrame:
+    """Invoices that are not matched, with the columns that some rules ask for."""
+    asked = [F.col(id), F.col(own), as_of]
+    for rule in rules:
+        asked += [*rule.probe_keys, *(rule.between or ())[:2], *([] if rule.probe_where is None else [rule.probe_where])]
+    used = invoices.select(*asked)._jdf.queryExecution().analyzed().references().toSeq()
+    names = {used.apply(n).name() for n in range(used.size())}
+    # merged by hint: the files of the ids, by whose size Spark would broadcast, are far smaller than the ids in memory
+    ids = matched.select(F.col("id").alias("__matched")).hint("merge")
+    return invoices.join(ids, F.col(id) == F.col("__matched"), "left_anti").select(*[c for c in invoices.columns if c in names])
+
+
+def _crowded_hits(probes: DataFrame, entries: DataFrame, rules: list[MatchRule], other: str, best: Column,
+                  kept: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """What probes of crowded keys meet, one row per probe or piece of it, from the timelines of their keys."""
     on = ["rule", "key"]
-    probes = written(probes, "waterfall-crowded-probes")
-    entries = written(_claim_pieces(entries.join(probes.select(*on).distinct(), on, "left_semi"), rules), "waterfall-claim-pieces")
-    probes = written(_probe_pieces(probes, rules).join(entries.select(*on).distinct(), on, "left_semi"), "waterfall-probe-pieces")
+    probes = kept(probes, "waterfall-crowded-probes")
+    entries = kept(_claim_pieces(entries.join(probes.select(*on).distinct(), on, "left_semi"), rules), "waterfall-claim-pieces")
+    probes = kept(_probe_pieces(probes, rules).join(entries.select(*on).distinct(), on, "left_semi"), "waterfall-probe-pieces")
     answers = accumulate(probes, entries, other, best)
     other_best = F.when(F.col("own") != F.col(f"first.{other}"), F.col("first")).otherwise(F.col("second"))
     return (probes.join(answers, [*on, "as_of"])
-            .select("id", "rule", "n", "best", F.when(F.col("own").isNotNull(), other_best).alias("best_other")))
+            .select("id", "n", "best", F.when(F.col("own").isNotNull(), other_best).alias("best_other")))
 
 
-def _first_rule_of_null_ids(probes: DataFrame, entries: DataFrame, rules: list[MatchRule], unique: list[int]) -> Column:
-    """Earliest rule matched by an invoice without id, as a scalar; null when there is none."""
+def _first_rule_of_null_ids(probes: DataFrame, entries: DataFrame, rules: list[MatchRule]) -> int | None:
+    """Earliest rule matched by an invoice without id; None when there is none."""
     entries = _claim_pieces(entries.join(probes.select("rule", "key").distinct(), ["rule", "key"], "left_semi"), rules)
     nameless = _probe_pieces(probes, rules).groupBy("rule", "key").agg(F.max("as_of").alias("as_of"))
     counts = (entries.join(nameless, ["rule", "key"]).where(F.col("since") <= F.col("as_of"))
               .groupBy("rule").agg(F.count(F.lit(1)).alias("n")))
-    return counts.where(~F.col("rule").isin(unique) | (F.col("n") == 1)).agg(F.min("rule").alias("r")).scalar()
+    unique = [r.rank for r in rules if r.unique]
+    return counts.where(~F.col("rule").isin(unique) | (F.col("n") == 1)).agg(F.min("rule").alias("r")).first().r

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,5 +54,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark's setting for deleting the shuffle files of a plan once it has run.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Plans run inside give back the disk of their shuffles when they end; else it is kept until the driver collects its memory."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))

@@ -30,6 +30,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``written`` made; no plan may read them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_committed(spark: SparkSession, path: str, periods: list[str] | None = None) -> DataFrame:
     """The rows of the newest commit, or those of some periods, whose files alone are read."""
     wanted = None if periods is None else lambda key: _unescaped(key.partition("=")[2]) in periods

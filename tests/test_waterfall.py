@@ -1,10 +1,13 @@
 """The one-pass waterfall against the step-by-step definition."""
 
 import datetime as dt
+import os
 import random
+import time
 
 from pyspark.sql import functions as F
 
+from ledgerlark import session
 from ledgerlark.operators import waterfall
 from ledgerlark.operators.waterfall import BLOCKS, MatchRule, _cover, _pieces, match_waterfall
 
@@ -165,3 +168,53 @@ def test_tasks_of_many_claims_follow_the_rows(spark, monkeypatch):
     invoices, claims = random_case(9)
     assert run(spark, invoices, claims) == by_hand(invoices, claims)
     assert ", 10), REPARTITION_BY_NUM" in plans["waterfall-entries"]
+
+
+def match(spark, invoices, claims):
+    inv = spark.createDataFrame([tuple(i.values()) for i in invoices], INVOICE)
+    cl = spark.createDataFrame([tuple(c.values()) for c in claims], CLAIM)
+    return match_waterfall(inv, cl, rules(), id="id", own="number", as_of=F.col("as_of"), since=F.col("since"),
+                           other="factura", payload=["occurred", "factura", "c1", "c2", "c_amount"], newest=["occurred", "factura"])
+
+
+def test_a_matched_invoice_asks_no_later_rule_and_only_what_was_found_stays(spark, monkeypatch):
+    tables, open_ids = [], []
+    kept = waterfall.written
+
+    def watched(df, name):
+        table = kept(df, name)
+        tables.append((name, [f.removeprefix("file:").replace("///", "/") for f in table.inputFiles()]))
+        if name == "waterfall-left":
+            open_ids.extend(r.id for r in table.select("id").collect())
+        return table
+
+    monkeypatch.setattr(waterfall, "written", watched)
+    for few in (0, 32):
+        monkeypatch.setattr(waterfall, "FEW", few)
+        tables.clear(), open_ids.clear()
+        invoices, claims = random_case(5)
+        found = {r.id: r.rule for r in match(spark, invoices, claims).collect()}
+        assert found == {k: v[0] for k, v in by_hand(invoices, claims).items()}
+        first = min(found.values())
+        assert sorted(open_ids) == sorted(i["id"] for i in invoices if found.get(i["id"]) != first)
+        for name, files in tables:
+            assert all(os.path.exists(f) == (name == "waterfall-found") for f in files), name
+        assert [name for name, _ in tables].count("waterfall-found") == len(rules())
+
+
+def test_shuffles_of_the_rules_leave_the_disk(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {name for name in (files.apply(n).getName() for n in range(files.size())) if name.startswith("shuffle_")}
+
+    invoices, claims = random_case(6)
+    before = shuffled()
+    matched = match(spark, invoices, claims)
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:  # they are deleted in the background
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(session._FREE_SHUFFLES, None) is None, "the session's own setting is left"
+    assert {r.id: r.rule for r in matched.collect()} == {k: v[0] for k, v in by_hand(invoices, claims).items()}
