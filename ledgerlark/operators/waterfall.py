@@ -29,7 +29,7 @@ _FOREVER = "9999-12-31"
 BLOCKS = tuple(8 ** n for n in range(7))
 #: Claims of a key that a probe may meet one by one; an interval of a crowded key makes about as many pieces.
 FEW = 32
-#: Claims whose entries a task compares at once, and up to how many such tasks Spark may lay out as it likes.
+#: Claims whose entries a task compares at once, and up to how many such tasks Spark may lay out as it likes and all rules run at once.
 TASK_CLAIMS, FEW_TASKS = 1 << 17, 8
 
 
@@ -100,13 +100,19 @@ def _entry(rule: MatchRule, parts: tuple[Column, ...], **more: Column) -> Column
     return F.struct(F.lit(rule.rank).alias("rule"), _key(list(parts)).alias("key"), *[c.alias(n) for n, c in more.items()])
 
 
-def _probes(invoices: DataFrame, rule: MatchRule, as_of: Column, id: str, own: str) -> DataFrame:
-    """The probes of a rule; without an interval they ask for the value 0, which all claims of such a rule have."""
+def _probe_entry(rule: MatchRule, as_of: Column) -> Column:
+    """The probe of an invoice; without an interval it asks for the value 0, which all claims of such a rule have."""
     low, high, _ = rule.between or (F.lit(0),) * 3
     date = as_of if rule.dated else F.lit(_FOREVER).cast("date")
-    entry = _entry(rule, rule.probe_keys, as_of=date, low=low.cast("bigint"), high=high.cast("bigint"))
-    rows = invoices if rule.probe_where is None else invoices.where(rule.probe_where)
-    rows = rows.select(F.col(id).alias("id"), F.col(own).alias("own"), entry.alias("e")).select("id", "own", "e.*")
+    return _entry(rule, rule.probe_keys, as_of=date, low=low.cast("bigint"), high=high.cast("bigint"))
+
+
+def _probes(invoices: DataFrame, rules: list[MatchRule], as_of: Column, id: str, own: str) -> DataFrame:
+    takes_part = lambda r: F.lit(True) if r.probe_where is None else r.probe_where
+    entry = F.explode(F.array(*[F.when(takes_part(r), _probe_entry(r, as_of)) for r in rules]))
+    if len(rules) == 1:  # no array, so that constants of the rule are not shuffled
+        invoices, entry = invoices.where(takes_part(rules[0])), _probe_entry(rules[0], as_of)
+    rows = invoices.select(F.col(id).alias("id"), F.col(own).alias("own"), entry.alias("e")).select("id", "own", "e.*")
     return rows.where(F.col("key").isNotNull() & F.col("as_of").isNotNull() & (F.col("low") <= F.col("high")))
 
 
@@ -122,9 +128,9 @@ def _explode(df: DataFrame, entries: list[Column], date: str, *keep: Column) ->
     return rows.where(F.col("key").isNotNull() & F.col(date).isNotNull())
 
 
-def _disjoint(probes: DataFrame, rule: MatchRule) -> DataFrame:
+def _disjoint(probes: DataFrame, rules: list[MatchRule]) -> DataFrame:
     """Probes without repeats: of what several of one invoice, key and date ask for, each value is left to one of them."""
-    if rule.between is None:
+    if all(r.between is None for r in rules):
         return probes.distinct()
     same = Window.partitionBy("id", "own", "rule", "key", "as_of").orderBy("low", "high")
     upto = F.max("high").over(same.rowsBetween(Window.unboundedPreceding, -1))
@@ -187,8 +193,8 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
                 payload breaks ties
     A null id that matches a rule voids all later rules, as NOT IN does.  Claims are shuffled once before the rules
     multiply them: copies of an entry share their payload, so they need no shuffle of their own.  The entries are written
-    once.  Rules follow each other: an invoice that a rule has matched asks no later one, what a rule finds is written,
-    and the disk of its shuffles is free for the next.  Only what was found stays at the end.
+    once.  Few rows meet all rules at once.  Else rules follow each other: an invoice that a rule has matched asks no later
+    one, what a rule finds is written, and the disk of its shuffles is free for the next.  Only what was found stays at the end.
     """
     scratch: list[DataFrame] = []
 
@@ -203,13 +209,13 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
         entries = _explode(dealt, [_claim_entry(r, since) for r in rules], "since", *[F.col(c) for c in payload])
         entries = kept(entries.where(F.col("value").isNotNull()).distinct(), "waterfall-entries")
         # keys are counted by hash: one taken for crowded by a collision is answered by its timeline, which is as exact
-        crowds = kept(entries.groupBy("rule", F.xxhash64("key").alias("__crowd")).agg(F.count(F.lit(1)).alias("n_claims"))
+        crowds = kept(entries.groupBy("rule", F.xxhash64("rule", "key").alias("__crowd")).agg(F.count(F.lit(1)).alias("n_claims"))
                       .where(F.col("n_claims") > FEW).select("rule", "__crowd"), "waterfall-crowds")
         crowded = {r.rule for r in crowds.select("rule").distinct().collect()}  # at most one row per rule
         ordered = sorted(rules, key=lambda r: r.rank)
-        if void_after_null_id and invoices.where(F.col(id).isNull()).limit(1).count():
-            probes = [_probes(invoices.where(F.col(id).isNull()), r, as_of, id, own) for r in ordered]
-            nameless = kept(reduce(DataFrame.unionByName, [_disjoint(p, r) for p, r in zip(probes, ordered, strict=True)]), "waterfall-nameless")
+        asking = invoices.agg(F.count(F.lit(1)).alias("all"), F.count(F.col(id)).alias("named")).first()
+        if void_after_null_id and asking["named"] < asking["all"]:
+            nameless = kept(_disjoint(_probes(invoices.where(F.col(id).isNull()), ordered, as_of, id, own), ordered), "waterfall-nameless")
             void = _first_rule_of_null_ids(nameless, entries, rules)
             ordered = [r for r in ordered if void is None or r.rank <= void]
 
@@ -217,21 +223,25 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
         left, reduced = invoices.where(F.col(id).isNotNull()), False
         found: list[DataFrame] = []
         taken: list[DataFrame] = []  # ids found since the invoices left were written
-        for n, rule in enumerate(ordered):
-            probes = _probes(left, rule, as_of, id, own)
+        steps = [[r] for r in ordered] if max(tasks, asking["named"] // TASK_CLAIMS) > FEW_TASKS else [ordered]
+        for n, step in enumerate(steps):
+            probes = _probes(left, step, as_of, id, own)
             if taken:
                 probes = probes.join(reduce(DataFrame.unionByName, taken).hint("merge"), "id", "left_anti")
-            of_rule = entries.where(F.col("rule") == rule.rank)
-            crowd = crowds.where(F.col("rule") == rule.rank).select("__crowd") if rule.rank in crowded else None
-            steps = len(scratch)
-            hits = _hits(_disjoint(probes, rule), of_rule, crowd, rule, other, newest_first, kept)
-            hits = hits.groupBy("id").agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"), F.max("best_other").alias("best_other"))
-            if rule.unique:
-                hits = hits.where(F.col("n_matches") == 1)
-            found.append(written(hits.select("id", F.lit(rule.rank).alias("rule"), "n_matches", "best", "best_other"), "waterfall-found"))
-            discard(*scratch[steps:])
-            del scratch[steps:]
-            ids, later = found[-1].select("id"), ordered[n + 1:]
+            ranks = [r.rank for r in step]
+            crowd = crowds.where(F.col("rule").isin(ranks)).select("__crowd") if crowded.intersection(ranks) else None
+            mark = len(scratch)
+            hits = _hits(_disjoint(probes, step), entries.where(F.col("rule").isin(ranks)), crowd, step, other, newest_first, kept)
+            hits = hits.groupBy("id", "rule").agg(F.sum("n").alias("n_matches"), F.max("best").alias("best"), F.max("best_other").alias("best_other"))
+            unique = [r.rank for r in step if r.unique]
+            if unique:
+                hits = hits.where(~F.col("rule").isin(unique) | (F.col("n_matches") == 1))
+            if len(step) > 1:
+                hits = top_per_key(hits, ["id"], [F.asc("rule")])
+            found.append(written(hits, "waterfall-found"))
+            discard(*scratch[mark:])
+            del scratch[mark:]
+            ids, later = found[-1].select("id"), [r for later in steps[n + 1:] for r in later]
             if reduced:
                 taken.append(ids)
             elif later and not ids.isEmpty():
@@ -240,18 +250,21 @@ def match_waterfall(invoices: DataFrame, claims: DataFrame, rules: list[MatchRul
     return reduce(DataFrame.unionByName, found)
 
 
-def _hits(probes: DataFrame, entries: DataFrame, crowd: DataFrame | None, rule: MatchRule, other: str, best: Column,
+def _hits(probes: DataFrame, entries: DataFrame, crowd: DataFrame | None, rules: list[MatchRule], other: str, best: Column,
           kept: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """(id, n, best, best_other) of the probes of a rule that meet claims; ``crowd`` has the hashes of its crowded keys."""
-    side = lambda df, how: df if crowd is None else df.join(crowd, F.xxhash64("key") == F.col("__crowd"), how)
+    """(id, rule, n, best, best_other) of the probes that meet claims; ``crowd`` has the hashes of crowded keys."""
+    side = lambda df, how: df if crowd is None else df.join(crowd, F.xxhash64("rule", "key") == F.col("__crowd"), how)
+    of_pair, on, rule = lambda df: df, ["rule", "key"], F.col("rule")
+    if len(rules) == 1:
+        of_pair, on, rule = lambda df: df.drop("rule"), ["key"], F.lit(rules[0].rank)
     met = F.col("since") <= F.col("as_of")
-    if rule.between is not None:
+    if any(r.between is not None for r in rules):
         met &= F.col("value").between(F.col("low"), F.col("high"))
-    pairs = side(probes, "left_anti").drop("rule").join(side(entries, "left_anti").drop("rule"), "key").where(met).withColumn("best", best)
-    hits = pairs.select("id", F.lit(1).cast("bigint").alias("n"), "best", F.when(F.col(other) != F.col("own"), F.col("best")).alias("best_other"))
+    pairs = of_pair(side(probes, "left_anti")).join(of_pair(side(entries, "left_anti")), on).where(met).withColumn("best", best)
+    hits = pairs.select("id", rule.alias("rule"), F.lit(1).cast("bigint").alias("n"), "best", F.when(F.col(other) != F.col("own"), F.col("best")).alias("best_other"))
     if crowd is None:
         return hits
-    return hits.unionByName(_crowded_hits(side(probes, "left_semi"), side(entries, "left_semi"), [rule], other, best, kept))
+    return hits.unionByName(_crowded_hits(side(probes, "left_semi"), side(entries, "left_semi"), rules, other, best, kept))
 
 
 def _left(invoices: DataFrame, matched: DataFrame, rules: list[MatchRule], as_of: Column, id: str, own: str) -> DataFrame:
@@ -276,7 +289,7 @@ def _crowded_hits(probes: DataFrame, entries: DataFrame, rules: list[MatchRule],
     answers = accumulate(probes, entries, other, best)
     other_best = F.when(F.col("own") != F.col(f"first.{other}"), F.col("first")).otherwise(F.col("second"))
     return (probes.join(answers, [*on, "as_of"])
-            .select("id", "n", "best", F.when(F.col("own").isNotNull(), other_best).alias("best_other")))
+            .select("id", "rule", "n", "best", F.when(F.col("own").isNotNull(), other_best).alias("best_other")))
 
 
 def _first_rule_of_null_ids(probes: DataFrame, entries: DataFrame, rules: list[MatchRule]) -> int | None:
